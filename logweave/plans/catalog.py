@@ -1,20 +1,28 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame
-computed over the whole given tables."""
+computed over the whole given tables (streaming ones run over staged
+batches of the whole log and return a batch read of their output)."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.decode import decode_messages
+from ..operators.decode import DECODE_METRICS, decode_messages
 from ..operators.windows import windowed_counts
+from ..schemas import COUNTS_KEY
 from ..sources import fixtures
+from ..streaming import metrics, sinks
+from ..streaming.runner import StagedLog
 
 # Queries run on the events data: ~4.3 min between events at sf0.01, so the
 # 1 min / 2 min defaults would make near-empty windows; use 1 h / 2 h.
 WINDOW = "1 hour"
 WATERMARK = "2 hours"
+STAGES = 3          # staged batches for the in-order streaming queries
+LATE_STAGES = 4     # staged batches for the late-data query
+LATE_MOD = 13       # event_id % 13 = 0 arrives one batch late
 
 
 def window_counts_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +31,192 @@ def window_counts_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windowed_counts(decode_messages(log, observe=None), WINDOW)
 
 
+def decode_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded messages with their log positions; undecodable records dropped."""
+    return decode_messages(fixtures.log_records(spark, sf_dir), observe=None)
+
+
+def encode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event encoded as a framed message and decoded again."""
+    from ..functions.codec import decode_frames, encode_frames
+
+    msgs = fixtures.messages(spark, sf_dir)
+    enc = encode_frames(msgs, out="value", schema_id=fixtures.SCHEMA_ID)
+    dec = decode_frames(enc.select("value"))
+    return dec.select("record.id", "record.text", "record.createdAt")
+
+
+def encode_roundtrip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole document texts (long, multi-byte) through the codec."""
+    from ..functions.codec import decode_frames, encode_frames
+
+    docs = fixtures.spread(fixtures.read_table(spark, sf_dir, "documents")).select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.col("text"),
+        F.timestamp_millis(F.col("doc_id") * 1000).alias("createdAt"),
+    )
+    dec = decode_frames(encode_frames(docs, out="value").select("value"))
+    return dec.select(
+        F.col("record.id").alias("id"),
+        F.length("record.text").alias("n_chars"),
+        F.octet_length("record.text").alias("n_bytes"),
+        F.sha2(F.col("record.text"), 256).alias("text_sha256"),
+        F.col("record.createdAt").alias("createdAt"),
+    )
+
+
+def _in_order_stream(spark: SparkSession, sf_dir: str, name: str, build, n: int = STAGES) -> StagedLog:
+    staged = StagedLog(spark, name)
+    records = fixtures.log_records(spark, sf_dir, keep_event_id=True)
+    staged.feed(fixtures.staged_batches(records, n), build)
+    return staged
+
+
+def _counts_stream(stream: DataFrame) -> DataFrame:
+    return windowed_counts(decode_messages(stream), WINDOW, WATERMARK)
+
+
+def decode_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per staged batch: records received and skipped, from streaming progress."""
+    metrics.report_skips(spark)
+
+    def build(stream):
+        return decode_messages(stream).writeStream.format("noop").option(
+            "checkpointLocation", staged.path("ckpt")).queryName("decode_metrics_" + staged.root[-12:])
+
+    staged = StagedLog(spark, "decode-metrics")
+    records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
+    staged.feed(fixtures.staged_batches(records, STAGES), build)
+    rows = []
+    for k, progs in enumerate(staged.progress):
+        got = [metrics.observed(p, DECODE_METRICS) for p in progs]
+        got = [g for g in got if g is not None]
+        rows.append((k, sum(g["received"] for g in got), sum(g["skipped"] for g in got)))
+    return spark.createDataFrame(rows, "batch int, received long, skipped long")
+
+
+def window_counts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watermarked hourly counts through the append-mode Parquet sink."""
+    out = {}
+
+    def build(stream):
+        return sinks.append_parquet(_counts_stream(stream), out["path"], out["ckpt"], "append_" + out["id"])
+
+    staged = StagedLog(spark, "append")
+    out.update(path=staged.path("out"), ckpt=staged.path("ckpt"), id=staged.root[-12:])
+    records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
+    staged.feed(fixtures.staged_batches(records, STAGES), build)
+    return spark.read.parquet(out["path"])
+
+
+def _upsert_run(spark: SparkSession, sf_dir: str, name: str, late: bool = False, crash_batch: bool = False):
+    staged = StagedLog(spark, name)
+    table = staged.path("table")
+    state = {"crashed": False, "last": None}
+
+    def crash_once(batch, batch_id):
+        # Simulates a failure after the sink wrote but before the checkpoint
+        # committed: Spark replays the same batch on restart.
+        if crash_batch and state["armed"] and not state["crashed"]:
+            state["crashed"] = True
+            raise RuntimeError(f"simulated crash after writing batch {batch_id}")
+
+    state["armed"] = False
+    sink = sinks.ChangelogUpsert(table, on_written=crash_once)
+
+    def build(stream):
+        return sink.writer(_counts_stream(stream), staged.path("ckpt"), f"{name}_{staged.root[-12:]}")
+
+    n = LATE_STAGES if late else STAGES
+    records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
+    batches = fixtures.staged_batches(records, n, LATE_MOD if late else None)
+    for k, b in enumerate(batches):
+        staged.append(b)
+        state["armed"] = crash_batch and k == n - 1
+        try:
+            staged.run(build)
+        except Exception:
+            if not state["crashed"]:
+                raise
+            staged.run(build)  # restart from the checkpoint: replays the batch
+    return staged, table, state
+
+
+def window_counts_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Update-mode counts into the replay-safe change log; latest view."""
+    _, table, _ = _upsert_run(spark, sf_dir, "upsert")
+    return sinks.latest_view(spark, table, COUNTS_KEY)
+
+
+def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As window_counts_upsert, but the last batch crashes after writing and
+    is replayed from the checkpoint; the table must come out the same."""
+    _, table, state = _upsert_run(spark, sf_dir, "replay", crash_batch=True)
+    if not state["crashed"]:
+        raise RuntimeError("replay_idempotent: the simulated crash did not happen")
+    return sinks.latest_view(spark, table, COUNTS_KEY)
+
+
+def upsert_table_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyed result table as a reader sees it, ordered by window, text."""
+    _, table, _ = _upsert_run(spark, sf_dir, "table-read")
+    return sinks.latest_view(spark, table, COUNTS_KEY).orderBy("window_start", "text")
+
+
+def late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts when some records arrive one staged batch late: a late record
+    is dropped iff its window ended at or before the previous watermark."""
+    _, table, _ = _upsert_run(spark, sf_dir, "late", late=True)
+    return sinks.latest_view(spark, table, COUNTS_KEY)
+
+
+def late_data_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows dropped by the watermark per staged batch (state metrics)."""
+    staged, _, _ = _upsert_run(spark, sf_dir, "late-dropped", late=True)
+    rows = []
+    for k, progs in enumerate(staged.progress):
+        dropped = sum(sum(op.numRowsDroppedByWatermark for op in p.stateOperators) for p in progs)
+        rows.append((k, dropped))
+    return spark.createDataFrame(rows, "batch int, dropped long")
+
+
+def resume_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append-mode counts from two runs of the same query: the second run
+    resumes from the first run's checkpoint at the next offset."""
+    staged = StagedLog(spark, "resume")
+    path, ckpt = staged.path("out"), staged.path("ckpt")
+
+    def build(stream):
+        return sinks.append_parquet(_counts_stream(stream), path, ckpt, "resume_" + staged.root[-12:])
+
+    records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
+    batches = fixtures.staged_batches(records, 4)
+    for half in (batches[:2], batches[2:]):
+        for b in half:
+            staged.append(b)
+        staged.run(build)
+    first, second = staged.progress
+    if first and second and min(p.batchId for p in second) <= max(p.batchId for p in first):
+        raise RuntimeError("resume_from_checkpoint: second run did not continue the batch ids")
+    return spark.read.parquet(path)
+
+
+def parquet_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 100 rows of the append-mode output ordered by window_start, text."""
+    return window_counts_append(spark, sf_dir).orderBy("window_start", "text").limit(100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_counts_batch": window_counts_batch,
+    "decode_permissive": decode_permissive,
+    "encode_roundtrip": encode_roundtrip,
+    "encode_roundtrip_documents": encode_roundtrip_documents,
+    "decode_metrics": decode_metrics,
+    "window_counts_append": window_counts_append,
+    "window_counts_upsert": window_counts_upsert,
+    "replay_idempotent": replay_idempotent,
+    "upsert_table_read": upsert_table_read,
+    "late_data": late_data,
+    "resume_from_checkpoint": resume_from_checkpoint,
+    "parquet_inspect": parquet_inspect,
 }

@@ -1,12 +1,12 @@
-"""DuckDB SQL oracles, one per registered query (independent of Spark).
-
-Tables are the pre-registered views over the test parquet files.
-"""
+"""DuckDB SQL oracles, one per registered query, written independently of
+the Spark code from the fixture definition (tables are the pre-registered
+views over the test parquet files)."""
 
 from __future__ import annotations
 
 # Fixed values shared with the fixture mapping (see sources/fixtures.py).
 POISON = "(event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0 OR event_id % 79 = 0)"
+TOPIC = "'messages'"
 
 MESSAGES = f"""
   SELECT event_id,
@@ -19,18 +19,74 @@ MESSAGES = f"""
 """
 
 
+def _staged(n: int, late_mod: int | None = None) -> str:
+    """Messages with their staged batch (equal event_id ranges) and arrival."""
+    late = f"CASE WHEN event_id % {late_mod} = 0 AND rb < {n - 1} THEN 1 ELSE 0 END" if late_mod else "0"
+    return f"""
+  SELECT *, rb + {late} AS arrival FROM (
+    SELECT m.*, CAST(floor((event_id - lo) * {n} / (hi - lo + 1)) AS INTEGER) AS rb
+    FROM ({MESSAGES}) m, (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events) bounds)
+"""
+
+
 def _hour_counts(where: str = "TRUE") -> str:
     return f"""
-  WITH m AS ({MESSAGES})
   SELECT date_trunc('hour', createdAt) AS window_start,
          date_trunc('hour', createdAt) + INTERVAL 1 HOUR AS window_end,
          text,
          CAST(count(*) AS BIGINT) AS count
-  FROM m WHERE NOT poison AND {where}
+  FROM ({MESSAGES}) m WHERE NOT poison AND {where}
   GROUP BY ALL
 """
 
 
+_FINAL_WATERMARK = f"(SELECT max(createdAt) FROM ({MESSAGES}) x WHERE NOT poison) - INTERVAL 2 HOUR"
+_APPEND = f"SELECT * FROM ({_hour_counts()}) c WHERE window_end <= {_FINAL_WATERMARK}"
+
+_LATE = f"""
+  WITH a AS ({_staged(4, 13)}),
+  kept AS (SELECT * FROM a WHERE NOT poison),
+  mx AS (SELECT arrival, max(createdAt) AS mx FROM kept GROUP BY arrival),
+  wm AS (SELECT arrival,
+                max(mx) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                  - INTERVAL 2 HOUR AS wm
+         FROM mx),
+  k AS (SELECT kept.*, wm.wm, date_trunc('hour', createdAt) + INTERVAL 1 HOUR AS we
+        FROM kept JOIN wm USING (arrival))
+"""
+
 SQL: dict[str, str] = {
     "window_counts_batch": _hour_counts(),
+    "decode_permissive": f"""
+  SELECT id, text, createdAt, {TOPIC} AS topic, partition,
+         CAST(rn - 1 AS BIGINT) AS "offset",
+         createdAt AS "timestamp"
+  FROM (SELECT *, row_number() OVER (PARTITION BY partition ORDER BY event_id) AS rn FROM ({MESSAGES}) m0) m
+  WHERE NOT poison
+""",
+    "encode_roundtrip": f"SELECT id, text, createdAt FROM ({MESSAGES}) m",
+    "encode_roundtrip_documents": """
+  SELECT CAST(doc_id AS VARCHAR) AS id,
+         CAST(length(text) AS INTEGER) AS n_chars,
+         CAST(strlen(text) AS INTEGER) AS n_bytes,
+         sha256(text) AS text_sha256,
+         make_timestamp(doc_id * 1000000) AS createdAt
+  FROM documents
+""",
+    "decode_metrics": f"""
+  SELECT rb AS batch, CAST(count(*) AS BIGINT) AS received,
+         CAST(count(*) FILTER (WHERE poison) AS BIGINT) AS skipped
+  FROM ({_staged(3)}) s GROUP BY rb
+""",
+    "window_counts_append": _APPEND,
+    "window_counts_upsert": _hour_counts(),
+    "replay_idempotent": _hour_counts(),
+    "upsert_table_read": _hour_counts() + " ORDER BY window_start, text",
+    "late_data": _LATE + """
+  SELECT date_trunc('hour', createdAt) AS window_start, we AS window_end, text,
+         CAST(count(*) AS BIGINT) AS count
+  FROM k WHERE wm IS NULL OR we > wm GROUP BY ALL
+""",
+    "resume_from_checkpoint": _APPEND,
+    "parquet_inspect": f"SELECT * FROM ({_APPEND}) a ORDER BY window_start, text LIMIT 100",
 }

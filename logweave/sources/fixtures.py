@@ -116,3 +116,18 @@ def log_records(
     if keep_event_id:
         cols.append(F.col("event_id"))
     return msgs.select(*cols)
+
+
+def staged_batches(records: DataFrame, n_batches: int, late_mod: int | None = None) -> list[DataFrame]:
+    """Split records (with ``event_id``) into ``n_batches`` ordered batches by
+    equal ranges of event_id: batch = floor((event_id - lo) * n / (hi - lo + 1)).
+    With ``late_mod``, records with event_id % late_mod = 0 arrive one batch
+    later than their range (the last batch keeps its own)."""
+    lo, hi = records.agg(F.min("event_id"), F.max("event_id")).first()
+    span = int(hi) - int(lo) + 1
+    batch = F.floor((F.col("event_id") - F.lit(int(lo))) * F.lit(n_batches) / F.lit(span)).cast("int")
+    if late_mod:
+        late = ((F.col("event_id") % late_mod) == 0) & (batch < n_batches - 1)
+        batch = batch + F.when(late, 1).otherwise(0)
+    tagged = records.withColumn("__lw_batch", batch)
+    return [tagged.filter(F.col("__lw_batch") == k).drop("__lw_batch", "event_id") for k in range(n_batches)]
