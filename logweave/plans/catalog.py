@@ -206,6 +206,63 @@ def parquet_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_counts_append(spark, sf_dir).orderBy("window_start", "text").limit(100)
 
 
+def _retry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events log with texts that trigger the failure simulator:
+    error -> fail-always, view -> fail-transient, signup -> fail-invalid,
+    others keep their type; each text gets -<event_id> appended."""
+    et = F.col("event_type")
+    marker = (
+        F.when(et == "error", F.lit("fail-always"))
+        .when(et == "view", F.lit("fail-transient"))
+        .when(et == "signup", F.lit("fail-invalid"))
+        .otherwise(et)
+    )
+    text = F.concat(marker, F.lit("-"), F.col("event_id").cast("string"))
+    return fixtures.log_records(spark, sf_dir, text=text)
+
+
+def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.deadletter import route
+
+    return route(_retry_log(spark, sf_dir))
+
+
+def retry_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per log record: attempts, outcome, failure class and total back-off."""
+    return _routed(spark, sf_dir).select(
+        "partition", "offset", F.col("record.id").alias("id"), "attempts", "outcome",
+        F.col("failure.kind").alias("failure_class"), "total_wait_ms",
+    )
+
+
+def processed_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records processed successfully, with the delivery attempt that succeeded."""
+    from ..operators.deadletter import processed
+
+    return processed(_routed(spark, sf_dir))
+
+
+def backoff_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The back-off waits each retried record went through, one row per retry."""
+    r = _routed(spark, sf_dir).filter(F.size("waits") > 0)
+    return r.select(F.col("record.id").alias("id"), F.posexplode("waits").alias("pos", "wait_ms")).select(
+        "id", (F.col("pos") + 1).cast("int").alias("retry"), "wait_ms")
+
+
+def dead_letter_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead-letter rows with their headers decoded to typed columns."""
+    from ..operators.deadletter import dead_letter_fields, dead_letters
+
+    return dead_letter_fields(dead_letters(_routed(spark, sf_dir)))
+
+
+def dead_letter_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One description per dead letter (origin, root cause, message, value)."""
+    from ..operators.deadletter import dead_letters, inspect
+
+    return inspect(dead_letters(_routed(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_counts_batch": window_counts_batch,
     "decode_permissive": decode_permissive,
@@ -219,4 +276,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_data": late_data,
     "resume_from_checkpoint": resume_from_checkpoint,
     "parquet_inspect": parquet_inspect,
+    "retry_outcome": retry_outcome,
+    "processed_ok": processed_ok,
+    "backoff_schedule": backoff_schedule,
+    "dead_letter_table": dead_letter_table,
+    "dead_letter_inspect": dead_letter_inspect,
 }
