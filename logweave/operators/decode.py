@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -24,12 +26,14 @@ def decode_messages(log: DataFrame, observe: str | Observation | None = DECODE_M
     log position columns.  Counts are taken before the filter:
     ``received`` = all records, ``skipped`` = dropped ones."""
     rec = with_records(log)
-    if observe is not None:
-        rec = rec.observe(
-            observe,
-            F.count(F.lit(1)).alias("received"),
-            F.count_if(~decoded()).alias("skipped"),
-        )
+    # Always observed: besides the counts, CollectMetrics is the barrier
+    # that keeps the filter below from being pushed into (and inlining) the
+    # staged decode projections, or below a repartition of the input.
+    rec = rec.observe(
+        observe if observe is not None else f"{DECODE_METRICS}_{uuid.uuid4().hex[:8]}",
+        F.count(F.lit(1)).alias("received"),
+        F.count_if(~decoded()).alias("skipped"),
+    )
     return rec.filter(decoded()).select(
         F.col("record.id").alias("id"),
         F.col("record.text").alias("text"),
