@@ -57,7 +57,7 @@ def test_append_requires_watermark(spark):
 
 def test_replayed_batch_leaves_table_unchanged(spark):
     staged = StagedLog(spark, "t-replay")
-    rows = log_rows(spark, [("a", at("00:01")), ("a", at("00:02")), ("b", at("00:02"))])
+    rows = log_rows(spark, [("a", at("01:00")), ("a", at("02:00")), ("b", at("02:00"))])
     batch = windowed_counts(decode_messages(rows), "1 minute")
     sink = sinks.ChangelogUpsert(staged.path("table"))
     sink(batch, 0)
