@@ -65,13 +65,6 @@ def encode_roundtrip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _in_order_stream(spark: SparkSession, sf_dir: str, name: str, build, n: int = STAGES) -> StagedLog:
-    staged = StagedLog(spark, name)
-    records = fixtures.log_records(spark, sf_dir, keep_event_id=True)
-    staged.feed(fixtures.staged_batches(records, n), build)
-    return staged
-
-
 def _counts_stream(stream: DataFrame) -> DataFrame:
     return windowed_counts(decode_messages(stream), WINDOW, WATERMARK)
 
@@ -86,7 +79,7 @@ def decode_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     staged = StagedLog(spark, "decode-metrics")
     records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
-    staged.feed(fixtures.staged_batches(records, STAGES), build)
+    staged.feed(fixtures.staged_batches(records, STAGES, materialize_to=staged.path("source")), build)
     rows = []
     for k, progs in enumerate(staged.progress):
         got = [metrics.observed(p, DECODE_METRICS) for p in progs]
@@ -105,7 +98,7 @@ def window_counts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = StagedLog(spark, "append")
     out.update(path=staged.path("out"), ckpt=staged.path("ckpt"), id=staged.root[-12:])
     records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
-    staged.feed(fixtures.staged_batches(records, STAGES), build)
+    staged.feed(fixtures.staged_batches(records, STAGES, materialize_to=staged.path("source")), build)
     return spark.read.parquet(out["path"])
 
 
@@ -129,7 +122,7 @@ def _upsert_run(spark: SparkSession, sf_dir: str, name: str, late: bool = False,
 
     n = LATE_STAGES if late else STAGES
     records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
-    batches = fixtures.staged_batches(records, n, LATE_MOD if late else None)
+    batches = fixtures.staged_batches(records, n, LATE_MOD if late else None, materialize_to=staged.path("source"))
     for k, b in enumerate(batches):
         staged.append(b)
         state["armed"] = crash_batch and k == n - 1
@@ -190,7 +183,7 @@ def resume_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
         return sinks.append_parquet(_counts_stream(stream), path, ckpt, "resume_" + staged.root[-12:])
 
     records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
-    batches = fixtures.staged_batches(records, 4)
+    batches = fixtures.staged_batches(records, 4, materialize_to=staged.path("source"))
     for half in (batches[:2], batches[2:]):
         for b in half:
             staged.append(b)

@@ -118,11 +118,14 @@ def log_records(
     return msgs.select(*cols)
 
 
-def staged_batches(records: DataFrame, n_batches: int, late_mod: int | None = None) -> list[DataFrame]:
+def staged_batches(records: DataFrame, n_batches: int, late_mod: int | None = None,
+                   materialize_to: str | None = None) -> list[DataFrame]:
     """Split records (with ``event_id``) into ``n_batches`` ordered batches by
     equal ranges of event_id: batch = floor((event_id - lo) * n / (hi - lo + 1)).
     With ``late_mod``, records with event_id % late_mod = 0 arrive one batch
-    later than their range (the last batch keeps its own)."""
+    later than their range (the last batch keeps its own).  With
+    ``materialize_to`` the records are encoded and written once, partitioned
+    by batch, and each batch is read back from there (partition pruning)."""
     lo, hi = records.agg(F.min("event_id"), F.max("event_id")).first()
     span = int(hi) - int(lo) + 1
     batch = F.floor((F.col("event_id") - F.lit(int(lo))) * F.lit(n_batches) / F.lit(span)).cast("int")
@@ -130,4 +133,8 @@ def staged_batches(records: DataFrame, n_batches: int, late_mod: int | None = No
         late = ((F.col("event_id") % late_mod) == 0) & (batch < n_batches - 1)
         batch = batch + F.when(late, 1).otherwise(0)
     tagged = records.withColumn("__lw_batch", batch)
+    if materialize_to is not None:
+        tagged.drop("event_id").write.partitionBy("__lw_batch").parquet(materialize_to)
+        tagged = records.sparkSession.read.parquet(materialize_to)
+        return [tagged.filter(F.col("__lw_batch") == k).drop("__lw_batch") for k in range(n_batches)]
     return [tagged.filter(F.col("__lw_batch") == k).drop("__lw_batch", "event_id") for k in range(n_batches)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import LOG_SCHEMA
 
@@ -70,3 +71,32 @@ def read_log(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(path)
+
+
+def write_log(
+    records: DataFrame,
+    config: dict[str, str] | None = None,
+    path: str | None = None,
+) -> None:
+    """Publish Kafka-shaped records (value [, key, partition, headers]):
+    to Kafka with the producer options derived from ``config`` when it names
+    brokers, else appended to the Parquet log table at ``path``.  Values are
+    written as given, so raw (non-Avro) bytes go out unencoded."""
+    config = config or {}
+    if "bootstrap.servers" in config or "kafka.bootstrap.servers" in config:
+        opts = producer_options(config)
+        opts.setdefault("kafka.bootstrap.servers",
+                        config.get("bootstrap.servers", config.get("kafka.bootstrap.servers")))
+        cols = [c for c in ("key", "value", "topic", "partition", "headers") if c in records.columns]
+        writer = records.select(*cols).write.format("kafka").options(**opts)
+        if "topic" not in records.columns:
+            writer = writer.option("topic", config["topic"])
+        writer.save()
+        return
+    if path is None:
+        raise ValueError("write_log needs Kafka settings or a log table path")
+    full = records
+    for f in LOG_SCHEMA.fields:
+        if f.name not in full.columns:
+            full = full.withColumn(f.name, F.lit(None).cast(f.dataType))
+    full.select(*LOG_SCHEMA.names).write.mode("append").parquet(path)

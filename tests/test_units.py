@@ -67,3 +67,26 @@ def test_offsets_match_row_number(spark, monkeypatch):
     a = sorted(map(tuple, got.select("p", "k", "offset").collect()))
     b = sorted(map(tuple, want.select("p", "k", "offset").collect()))
     assert a == b
+
+
+def test_produce_and_write_log(spark, tmp_path):
+    import datetime as dt
+
+    from logweave.functions.codec import decode_frames
+    from logweave.operators.produce import framed, new_messages, raw_records
+    from logweave.sources.log import read_log, write_log
+
+    texts = spark.createDataFrame([("hello",), ("héllo wörld " * 10,)], "text string")
+    before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    msgs = new_messages(texts, seconds_ago=300).cache()
+    rows = msgs.collect()
+    assert len({r["id"] for r in rows}) == 2
+    for r in rows:
+        assert r["createdAt"].microsecond % 1000 == 0
+        assert dt.timedelta(seconds=290) < before - r["createdAt"] < dt.timedelta(seconds=400)
+    path = str(tmp_path / "log")
+    write_log(framed(msgs), path=path)
+    write_log(raw_records(spark.createDataFrame([(bytearray(b"not avro"),)], "value binary")), path=path)
+    back = decode_frames(read_log(spark, path=path, streaming=False)).collect()
+    got = sorted((r["record"]["text"] if r["record"] else None) or "" for r in back)
+    assert got == sorted(["", "hello", "héllo wörld " * 10])
