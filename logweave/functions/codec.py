@@ -134,9 +134,23 @@ def decode_frames(df: DataFrame, value_col: str = "value", out: str = "record",
     return s.select(*cols, record.alias(out))
 
 
+ARROW_BATCH_BYTES = 64 << 20
+
+
+def _bound_arrow_batches(spark) -> None:
+    """Values can be large (whole documents); bound the bytes of each Arrow
+    batch sent to the scanner unless the session already bounds them."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    cur = spark.conf.get(key, None)
+    digits = "".join(ch for ch in (cur or "") if ch.isdigit())
+    if not digits or int(digits) <= 0 or int(digits) > 4 * ARROW_BATCH_BYTES:
+        spark.conf.set(key, str(ARROW_BATCH_BYTES))
+
+
 def _decode_arrow(df: DataFrame, value_col: str, out: str) -> DataFrame:
     from .framescan import scan_frames
 
+    _bound_arrow_batches(df.sparkSession)
     cols = df.columns
     scan = "__lw_scan"
     s = df.select(*cols, scan_frames(F.col(value_col)).alias(scan))

@@ -94,3 +94,16 @@ def test_skip_listener_and_three_queries_one_session(spark):
         import time
         time.sleep(1)
         assert any(w[2] == 1 for w in rep.warnings)
+
+
+def test_processing_time_trigger(spark):
+    staged = StagedLog(spark, "t-trigger")
+    staged.append(log_rows(spark, [("a", at("01:00")), ("b", at("09:00"))]))
+    sink = sinks.ChangelogUpsert(staged.path("table"))
+    q = sink.writer(_counts(staged.stream()), staged.path("ckpt"), "t_trigger").trigger(
+        processingTime="1 second").start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sinks.latest_view(spark, staged.path("table"), COUNTS_KEY).count() == 2
