@@ -11,6 +11,7 @@ cut JVM-side with ``substr`` so no text travels back through Python.
 from __future__ import annotations
 
 import functools
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -93,6 +94,11 @@ def scan_frames_arrow(values: pa.Array) -> pa.Array:
 @functools.cache
 def _scan_udf():
     # Built on first use: workers import this module without a SparkContext.
+    # Pickled by value, so executors need numpy and pyarrow but not this
+    # package on their path.
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return F.arrow_udf(scan_frames_arrow, SCAN_TYPE)
 
 

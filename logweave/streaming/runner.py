@@ -39,9 +39,22 @@ class StagedLog:
     def stream(self) -> DataFrame:
         return read_log(self.spark, path=self.log_path, streaming=True)
 
-    def run(self, build: Callable[[DataFrame], DataStreamWriter]) -> StreamingQuery:
-        """Start the query over everything staged so far and wait for it."""
-        q = build(self.stream()).trigger(availableNow=True).start()
+    def run(self, build: Callable[[DataFrame], DataStreamWriter], state_partitions: int | None = None) -> StreamingQuery:
+        """Start the query over everything staged so far and wait for it.
+
+        The number of state partitions is fixed in the checkpoint by the first
+        start; it is set from ``state_partitions`` (default: the smaller of
+        the session's shuffle partitions and the cluster's cores) only for
+        the ``start`` call, which clones the session, then restored."""
+        conf = self.spark.conf
+        key = "spark.sql.shuffle.partitions"
+        old = conf.get(key)
+        n = state_partitions or min(int(old), self.spark.sparkContext.defaultParallelism)
+        conf.set(key, str(n))
+        try:
+            q = build(self.stream()).trigger(availableNow=True).start()
+        finally:
+            conf.set(key, old)
         try:
             q.awaitTermination()
         finally:
