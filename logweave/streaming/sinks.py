@@ -14,8 +14,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -44,13 +47,37 @@ def console(stream: DataFrame, checkpoint: str, name: str) -> DataStreamWriter:
 
 
 class ChangelogUpsert:
-    """foreachBatch target writing a replay-safe change log."""
+    """foreachBatch target writing a replay-safe change log.
+
+    Batch ids start again at 0 under a new checkpoint, so a table belongs to
+    one query: the first batch records the checkpoint's query id in a hidden
+    ``_run`` marker beside the data, and a query with another id is refused
+    instead of overwriting good batches with partial ones."""
 
     def __init__(self, table: str, on_written: Callable[[DataFrame, int], None] | None = None):
         self.table = table
         self.on_written = on_written
+        self.checkpoint: str | None = None
+        self._owner_checked = False
+
+    def _check_owner(self, spark: SparkSession) -> None:
+        if self._owner_checked or self.checkpoint is None:
+            return
+        run_id = json.loads(spark.read.text(f"{self.checkpoint}/metadata").first()[0])["id"]
+        marker = f"{self.table}/_run"
+        try:
+            owner = spark.read.parquet(marker).first()["run_id"]
+        except AnalysisException:
+            spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.parquet(marker)
+            owner = run_id
+        if owner != run_id:
+            raise RuntimeError(
+                f"change-log table {self.table} belongs to query {owner}, not {run_id}; "
+                "use a new table for a new checkpoint (or compact into one)")
+        self._owner_checked = True
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self._check_owner(batch.sparkSession)
         (
             batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
             .write.mode("overwrite")
@@ -62,6 +89,7 @@ class ChangelogUpsert:
             self.on_written(batch, batch_id)
 
     def writer(self, stream: DataFrame, checkpoint: str, name: str) -> DataStreamWriter:
+        self.checkpoint = checkpoint
         return (
             stream.writeStream.outputMode("update")
             .option("checkpointLocation", checkpoint)

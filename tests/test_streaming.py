@@ -107,3 +107,16 @@ def test_processing_time_trigger(spark):
     finally:
         q.stop()
     assert sinks.latest_view(spark, staged.path("table"), COUNTS_KEY).count() == 2
+
+
+def test_changelog_refuses_a_second_query(spark):
+    staged = StagedLog(spark, "t-owner")
+    staged.append(log_rows(spark, [("a", at("01:00"))]))
+    table = staged.path("table")
+    first = sinks.ChangelogUpsert(table)
+    staged.run(lambda s: first.writer(_counts(s), staged.path("ckpt1"), "t_owner1"))
+    staged.run(lambda s: first.writer(_counts(s), staged.path("ckpt1"), "t_owner1"))  # resume: same owner
+    other = sinks.ChangelogUpsert(table)
+    with pytest.raises(Exception, match="belongs to query"):
+        staged.run(lambda s: other.writer(_counts(s), staged.path("ckpt2"), "t_owner2"))
+    spark.streams.resetTerminated()
