@@ -120,3 +120,16 @@ def test_changelog_refuses_a_second_query(spark):
     with pytest.raises(Exception, match="belongs to query"):
         staged.run(lambda s: other.writer(_counts(s), staged.path("ckpt2"), "t_owner2"))
     spark.streams.resetTerminated()
+
+
+def test_compact_keeps_latest_view(spark):
+    staged = StagedLog(spark, "t-compact")
+    rows = log_rows(spark, [("a", at("01:00")), ("b", at("02:00"))])
+    batch = windowed_counts(decode_messages(rows), "1 minute")
+    sink = sinks.ChangelogUpsert(staged.path("table"))
+    sink(batch, 0)
+    sink(batch.withColumn("count", F.col("count") + 1), 1)
+    sinks.compact(spark, staged.path("table"), COUNTS_KEY, staged.path("compacted"))
+    a = sorted(map(tuple, sinks.latest_view(spark, staged.path("table"), COUNTS_KEY).collect()))
+    b = sorted(map(tuple, sinks.latest_view(spark, staged.path("compacted"), COUNTS_KEY).collect()))
+    assert a == b and all(r[3] == 2 for r in a)
