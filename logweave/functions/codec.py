@@ -66,8 +66,12 @@ def encode_frames(
         zigzag(F.length(p + "b2")).alias(p + "z2"),
         zigzag(F.unix_millis(F.col(created_col))).alias(p + "z3"),
     )
-    s = s.select("*", *[varint_len(F.col(f"{p}z{k}")).alias(f"{p}n{k}") for k in (1, 2, 3)])
-    s = s.select("*", *[varint_hex_of(F.col(f"{p}z{k}"), F.col(f"{p}n{k}")).alias(f"{p}h{k}") for k in (1, 2, 3)])
+    # Bounded sizes: a binary length (< 2^31) needs at most 5 varint bytes,
+    # a Spark timestamp in milliseconds (|ms| < 2^54) at most 8.
+    sizes = {1: 5, 2: 5, 3: 8}
+    s = s.select("*", *[varint_len(F.col(f"{p}z{k}"), m).alias(f"{p}n{k}") for k, m in sizes.items()])
+    s = s.select("*", *[varint_hex_of(F.col(f"{p}z{k}"), F.col(f"{p}n{k}"), m).alias(f"{p}h{k}")
+                        for k, m in sizes.items()])
     value = F.concat(
         frame_header(schema_id),
         F.unhex(F.col(p + "h1")), F.col(p + "b1"),

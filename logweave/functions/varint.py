@@ -82,10 +82,11 @@ def read_varint(df: DataFrame, body: str, pos: Column, name: str) -> DataFrame:
     )
 
 
-def varint_len(z: Column) -> Column:
-    """Bytes needed by the varint of ``z`` (1..10)."""
-    expr = F.lit(MAX_VARINT_BYTES)
-    for j in reversed(range(1, MAX_VARINT_BYTES)):
+def varint_len(z: Column, max_bytes: int = MAX_VARINT_BYTES) -> Column:
+    """Bytes needed by the varint of ``z`` (1..max_bytes; ``max_bytes`` below
+    10 is for values known to be small enough)."""
+    expr = F.lit(max_bytes)
+    for j in reversed(range(1, max_bytes)):
         expr = F.when(F.shiftrightunsigned(z, 7 * j) == 0, F.lit(j)).otherwise(expr)
     return expr
 
@@ -94,18 +95,19 @@ _NIBBLES = 0x0F0F0F0F0F0F0F0F
 _CONT = -0x7F7F7F7F7F7F7F80  # 0x8080808080808080 as a signed long
 
 
-def varint_hex_of(z: Column, n: Column) -> Column:
-    """Hex text of the ``n``-byte varint of ``z`` (``n`` from ``varint_len``).
+def varint_hex_of(z: Column, n: Column, max_bytes: int = MAX_VARINT_BYTES) -> Column:
+    """Hex text of the ``n``-byte varint of ``z`` (``n`` from ``varint_len``,
+    at most ``max_bytes``).
 
     The first (up to) 8 bytes: 7-bit groups spread into 8-bit slots, the
     continuation bits or-ed in, nibbles swapped inside each byte, then the
     hex text reversed; this yields the bytes in little-endian order.
     """
     spread = None
-    for j in range(8):
+    for j in range(min(max_bytes, 8)):
         g = F.shiftleft(F.shiftrightunsigned(z, 7 * j).bitwiseAND(F.lit(127)), 8 * j)
         spread = g if spread is None else spread.bitwiseOR(g)
-    k = F.least(n - 1, F.lit(8))
+    k = F.least(n - 1, F.lit(8)) if max_bytes > 8 else n - 1
     mask = F.when(k >= 8, F.lit(-1).cast("long")).otherwise(
         F.call_function("shiftleft", F.lit(1).cast("long"), (k * 8).cast("int")) - 1
     )
@@ -114,6 +116,8 @@ def varint_hex_of(z: Column, n: Column) -> Column:
         F.shiftrightunsigned(y, 4).bitwiseAND(F.lit(_NIBBLES))
     )
     head = F.substring(F.reverse(F.lpad(F.hex(swapped), 16, "0")), F.lit(1), F.least(n, F.lit(8)) * 2)
+    if max_bytes <= 8:
+        return head
     b8 = F.shiftrightunsigned(z, 56).bitwiseAND(F.lit(127)).bitwiseOR(F.when(n > 9, F.lit(128)).otherwise(F.lit(0)))
     b9 = F.shiftrightunsigned(z, 63)
     tail = F.concat(F.lpad(F.hex(b8), 2, "0"), F.when(n > 9, F.lpad(F.hex(b9), 2, "0")).otherwise(F.lit("")))
