@@ -44,6 +44,9 @@ def local_session(app: str = "logweave", cores: str = "*", partitions: int = 8)
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # PySpark 4 captures the Python call site of every Column function
+        # (~2 ms each); the codec builds hundreds of them per plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
