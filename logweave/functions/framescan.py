@@ -67,6 +67,8 @@ def _varint(data, pos, end, ok):
 
 
 def scan_frames_arrow(values: pa.Array) -> pa.Array:
+    if len(values) == 0:
+        return pa.array([], type=pa.struct(_FIELDS))
     start, end, data, valid = _buffers(values)
     ok = valid & (end - start >= 5)
     ok &= data[np.minimum(start, len(data) - 1)] == 0
