@@ -133,3 +133,29 @@ def test_compact_keeps_latest_view(spark):
     a = sorted(map(tuple, sinks.latest_view(spark, staged.path("table"), COUNTS_KEY).collect()))
     b = sorted(map(tuple, sinks.latest_view(spark, staged.path("compacted"), COUNTS_KEY).collect()))
     assert a == b and all(r[3] == 2 for r in a)
+
+
+def test_aggregation_app(spark):
+    from logweave.plans import apps
+
+    staged = StagedLog(spark, "t-app")
+    staged.append(log_rows(spark, [("a", at("01:00")), ("a", at("01:30")), ("b", at("09:00"))]))
+    cfg = {
+        "log.path": staged.log_path,
+        "trigger.interval": "availableNow",
+        "checkpoint.location": staged.path("c-console"),
+        "parquet.output.path": staged.path("parquet"),
+        "parquet.checkpoint.location": staged.path("c-parquet"),
+        "upsert.table.path": staged.path("table"),
+        "upsert.checkpoint.location": staged.path("c-upsert"),
+    }
+    qs = apps.start_aggregation(spark, cfg)
+    for q in qs[1:]:
+        q.awaitTermination()
+    qs[0].processAllAvailable()
+    qs[0].stop()
+    spark.streams.resetTerminated()
+    top = apps.inspect_parquet(spark, cfg["parquet.output.path"]).collect()
+    assert [(r["text"], r["count"]) for r in top] == [("a", 2)]
+    table = apps.read_counts_table(spark, cfg["upsert.table.path"]).collect()
+    assert [(r["text"], r["count"]) for r in table] == [("a", 2), ("b", 1)]
