@@ -1,7 +1,10 @@
 """Avro zig-zag varints as Spark column expressions.
 
-Decoding reads a bounded window of at most 10 bytes (the longest long
-varint), so its cost does not depend on the length of the value:
+These back the column-only decode engine (``decode_frames(engine=
+"columns")``); the default engine locates varints with the vectorised
+scanner in ``framescan`` instead.  Decoding reads a bounded window of at
+most 10 bytes (the longest long varint), so its cost does not depend on the
+length of the value:
 
 * a regular expression over the window's hex text finds the bytes up to and
   including the first one below 0x80 (no match: truncated or over-long);
