@@ -250,10 +250,15 @@ def dead_letter_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dead_letter_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One description per dead letter (origin, root cause, message, value)."""
+    """Dead letters published to a dead-letter log table, read back as raw
+    records with headers (no decode on read), and described one by one."""
     from ..operators.deadletter import dead_letters, inspect
+    from ..session import new_run_dir
+    from ..sources.log import read_log, write_log
 
-    return inspect(dead_letters(_routed(spark, sf_dir)))
+    dlt_path = f"{new_run_dir(spark, 'dlt')}/log"
+    write_log(dead_letters(_routed(spark, sf_dir)), path=dlt_path)
+    return inspect(read_log(spark, path=dlt_path, streaming=False))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
