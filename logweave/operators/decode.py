@@ -17,15 +17,16 @@ def decoded(record: str = "record") -> Column:
     return F.col(record).isNotNull() & F.col(f"{record}.id").isNotNull()
 
 
-def with_records(log: DataFrame) -> DataFrame:
-    return decode_frames(log, "value", "record")
+def with_records(log: DataFrame, engine: str = "arrow") -> DataFrame:
+    return decode_frames(log, "value", "record", engine=engine)
 
 
-def decode_messages(log: DataFrame, observe: str | Observation | None = DECODE_METRICS) -> DataFrame:
+def decode_messages(log: DataFrame, observe: str | Observation | None = DECODE_METRICS,
+                    engine: str = "arrow") -> DataFrame:
     """Drop and count undecodable records; keep id, text, createdAt plus the
     log position columns.  Counts are taken before the filter:
     ``received`` = all records, ``skipped`` = dropped ones."""
-    rec = with_records(log)
+    rec = with_records(log, engine)
     # Always observed: besides the counts, CollectMetrics is the barrier
     # that keeps the filter below from being pushed into (and inlining) the
     # staged decode projections, or below a repartition of the input.

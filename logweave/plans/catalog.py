@@ -36,6 +36,11 @@ def decode_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_messages(fixtures.log_records(spark, sf_dir), observe=None)
 
 
+def decode_permissive_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """decode_permissive with the JVM-only column decoder (no Python workers)."""
+    return decode_messages(fixtures.log_records(spark, sf_dir), observe=None, engine="columns")
+
+
 def encode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event encoded as a framed message and decoded again."""
     from ..functions.codec import decode_frames, encode_frames
@@ -264,6 +269,7 @@ def dead_letter_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_counts_batch": window_counts_batch,
     "decode_permissive": decode_permissive,
+    "decode_permissive_columns": decode_permissive_columns,
     "encode_roundtrip": encode_roundtrip,
     "encode_roundtrip_documents": encode_roundtrip_documents,
     "decode_metrics": decode_metrics,

@@ -113,6 +113,7 @@ SQL: dict[str, str] = {
   WHERE NOT poison
 """,
     "encode_roundtrip": f"SELECT id, text, createdAt FROM ({MESSAGES}) m",
+    "decode_permissive_columns": None,
     "encode_roundtrip_documents": """
   SELECT CAST(doc_id AS VARCHAR) AS id,
          CAST(length(text) AS INTEGER) AS n_chars,
@@ -189,3 +190,4 @@ SQL: dict[str, str] = {
   FROM ({_DLT}) d
 """,
 }
+SQL["decode_permissive_columns"] = SQL["decode_permissive"]
