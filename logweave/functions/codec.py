@@ -1,6 +1,6 @@
 """Framed Avro: magic byte 0, 4-byte big-endian writer-schema id, Avro body.
 
-``encode_frame`` builds the bytes of the flat message record
+``encode_frames`` builds the bytes of the flat message record
 ``{id: string, text: string, createdAt: long timestamp-millis}``;
 ``decode_frames`` reverses it with all-or-nothing semantics: a value that is
 null, shorter than the 5-byte header, has another magic byte, a truncated or
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .varint import long_bytes, read_varint, varint_hex_of, varint_len, zigzag
+from .varint import read_varint, varint_hex_sql, varint_len_sql, zigzag
 
 MAGIC = b"\x00"
 HEADER_BYTES = 5
@@ -27,24 +27,6 @@ def frame_header(schema_id: int) -> Column:
     return F.lit(MAGIC + int(schema_id & 0xFFFFFFFF).to_bytes(4, "big"))
 
 
-def string_bytes(s: Column) -> Column:
-    return s.cast("binary")
-
-
-def encode_body(id_col: Column, text_col: Column, created_col: Column) -> Column:
-    idb, txb = string_bytes(id_col), string_bytes(text_col)
-    return F.concat(
-        long_bytes(F.length(idb)), idb,
-        long_bytes(F.length(txb)), txb,
-        long_bytes(F.unix_millis(created_col)),
-    )
-
-
-def encode_frame(id_col: Column, text_col: Column, created_col: Column, schema_id: int = 1) -> Column:
-    """Framed bytes of one message; ``createdAt`` is cut to milliseconds."""
-    return F.concat(frame_header(schema_id), encode_body(id_col, text_col, created_col))
-
-
 def encode_frames(
     df: DataFrame, id_col: str = "id", text_col: str = "text", created_col: str = "createdAt",
     out: str = "value", schema_id: int = 1,
@@ -69,8 +51,8 @@ def encode_frames(
     # Bounded sizes: a binary length (< 2^31) needs at most 5 varint bytes,
     # a Spark timestamp in milliseconds (|ms| < 2^54) at most 8.
     sizes = {1: 5, 2: 5, 3: 8}
-    s = s.select("*", *[varint_len(F.col(f"{p}z{k}"), m).alias(f"{p}n{k}") for k, m in sizes.items()])
-    s = s.select("*", *[varint_hex_of(F.col(f"{p}z{k}"), F.col(f"{p}n{k}"), m).alias(f"{p}h{k}")
+    s = s.select("*", *[F.expr(varint_len_sql(f"{p}z{k}", m)).alias(f"{p}n{k}") for k, m in sizes.items()])
+    s = s.select("*", *[F.expr(varint_hex_sql(f"{p}z{k}", f"{p}n{k}", m)).alias(f"{p}h{k}")
                         for k, m in sizes.items()])
     value = F.concat(
         frame_header(schema_id),

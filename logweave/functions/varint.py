@@ -12,10 +12,10 @@ length of the value:
   is byte ``j`` of the varint with its two nibbles swapped, so the 7-bit
   groups are picked out with shifts and masks on a long.
 
-Encoding spreads the 7-bit groups into the bytes of one long (at most 8
-bytes, enough for any string length and any Spark timestamp in
-milliseconds) and writes it as hex once; two more bytes are appended for
-longs needing 9 or 10.
+Encoding (``varint_len_sql`` / ``varint_hex_sql``: SQL text, so a whole
+varint is built as one expression) spreads the 7-bit groups into the bytes
+of one long (at most 8 bytes, enough for any string length and any Spark
+timestamp in milliseconds) and writes it as hex once.
 """
 
 from __future__ import annotations
@@ -85,50 +85,30 @@ def read_varint(df: DataFrame, body: str, pos: Column, name: str) -> DataFrame:
     )
 
 
-def varint_len(z: Column, max_bytes: int = MAX_VARINT_BYTES) -> Column:
-    """Bytes needed by the varint of ``z`` (1..max_bytes; ``max_bytes`` below
-    10 is for values known to be small enough)."""
-    expr = F.lit(max_bytes)
-    for j in reversed(range(1, max_bytes)):
-        expr = F.when(F.shiftrightunsigned(z, 7 * j) == 0, F.lit(j)).otherwise(expr)
-    return expr
+# 0x0F0F0F0F0F0F0F0F and 0x8080808080808080 as signed longs
+_NIBBLES = 1085102592571150095
+_CONT = -9187201950435737472
+MAX_ENCODE_BYTES = 8
 
 
-_NIBBLES = 0x0F0F0F0F0F0F0F0F
-_CONT = -0x7F7F7F7F7F7F7F80  # 0x8080808080808080 as a signed long
+def varint_len_sql(z: str, max_bytes: int = MAX_ENCODE_BYTES) -> str:
+    """SQL: bytes needed by the varint of long column ``z`` (1..max_bytes);
+    ``max_bytes`` must bound the value (5 for any binary length)."""
+    whens = " ".join(f"WHEN shiftrightunsigned({z}, {7 * j}) = 0 THEN {j}" for j in range(1, max_bytes))
+    return f"CASE {whens} ELSE {max_bytes} END"
 
 
-def varint_hex_of(z: Column, n: Column, max_bytes: int = MAX_VARINT_BYTES) -> Column:
-    """Hex text of the ``n``-byte varint of ``z`` (``n`` from ``varint_len``,
-    at most ``max_bytes``).
+def varint_hex_sql(z: str, n: str, max_bytes: int = MAX_ENCODE_BYTES) -> str:
+    """SQL: hex text of the ``n``-byte varint of long column ``z``.
 
-    The first (up to) 8 bytes: 7-bit groups spread into 8-bit slots, the
-    continuation bits or-ed in, nibbles swapped inside each byte, then the
-    hex text reversed; this yields the bytes in little-endian order.
+    The 7-bit groups are spread into the bytes of one long, continuation
+    bits or-ed into the first n-1 bytes and the nibbles of each byte
+    swapped; the reversed hex text of that long is then the varint, first
+    byte first.  At most 8 bytes: any binary length or Spark timestamp in ms.
     """
-    spread = None
-    for j in range(min(max_bytes, 8)):
-        g = F.shiftleft(F.shiftrightunsigned(z, 7 * j).bitwiseAND(F.lit(127)), 8 * j)
-        spread = g if spread is None else spread.bitwiseOR(g)
-    k = F.least(n - 1, F.lit(8)) if max_bytes > 8 else n - 1
-    mask = F.when(k >= 8, F.lit(-1).cast("long")).otherwise(
-        F.call_function("shiftleft", F.lit(1).cast("long"), (k * 8).cast("int")) - 1
-    )
-    y = spread.bitwiseOR(mask.bitwiseAND(F.lit(_CONT)))
-    swapped = F.shiftleft(y.bitwiseAND(F.lit(_NIBBLES)), 4).bitwiseOR(
-        F.shiftrightunsigned(y, 4).bitwiseAND(F.lit(_NIBBLES))
-    )
-    head = F.substring(F.reverse(F.lpad(F.hex(swapped), 16, "0")), F.lit(1), F.least(n, F.lit(8)) * 2)
-    if max_bytes <= 8:
-        return head
-    b8 = F.shiftrightunsigned(z, 56).bitwiseAND(F.lit(127)).bitwiseOR(F.when(n > 9, F.lit(128)).otherwise(F.lit(0)))
-    b9 = F.shiftrightunsigned(z, 63)
-    tail = F.concat(F.lpad(F.hex(b8), 2, "0"), F.when(n > 9, F.lpad(F.hex(b9), 2, "0")).otherwise(F.lit("")))
-    return F.when(n > 8, F.concat(head, tail)).otherwise(head)
-
-
-def long_bytes(n: Column) -> Column:
-    """Avro ``long`` encoding of one value as a single column expression.
-    For many values per row prefer the staged ``encode_frames``."""
-    z = zigzag(n)
-    return F.unhex(varint_hex_of(z, varint_len(z)))
+    if not 1 <= max_bytes <= MAX_ENCODE_BYTES:
+        raise ValueError("varint_hex_sql encodes at most 8 bytes")
+    spread = " | ".join(f"shiftleft(shiftrightunsigned({z}, {7 * j}) & 127L, {8 * j})" for j in range(max_bytes))
+    y = f"(({spread}) | ((shiftleft(1L, ({n} - 1) * 8) - 1L) & {_CONT}L))"
+    swapped = f"(shiftleft({y} & {_NIBBLES}L, 4) | (shiftrightunsigned({y}, 4) & {_NIBBLES}L))"
+    return f"substring(reverse(lpad(hex({swapped}), 16, '0')), 1, {n} * 2)"

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logweave.functions.codec import decode_frames, encode_frame, frame_schema_id
+from logweave.functions.codec import decode_frames, encode_frames, frame_schema_id
 
 UTC = dt.timezone.utc
 
@@ -52,7 +52,7 @@ def test_roundtrip_multibyte_and_long(spark, engine):
     rows = [("id-1", "héllo", when), ("x" * 70, long_text, dt.datetime(1969, 12, 31, 23, 59, 59, 999000)),
             ("", "", dt.datetime(1970, 1, 1))]
     df = spark.createDataFrame(rows, "id string, text string, createdAt timestamp")
-    enc = df.select("*", encode_frame(F.col("id"), F.col("text"), F.col("createdAt"), 7).alias("value"))
+    enc = encode_frames(df, schema_id=7)
     dec = decode_frames(enc, engine=engine).select("id", "text", "createdAt", "record", frame_schema_id(F.col("value")).alias("sid"))
     for r in dec.collect():
         assert r["record"]["id"] == r["id"]
@@ -63,15 +63,29 @@ def test_roundtrip_multibyte_and_long(spark, engine):
 
 def test_encode_known_bytes(spark):
     df = spark.createDataFrame([("a", "b", dt.datetime(1970, 1, 1))], "id string, text string, createdAt timestamp")
-    v = df.select(encode_frame(F.col("id"), F.col("text"), F.col("createdAt"), 1).alias("v")).first()["v"]
+    v = encode_frames(df, out="v").first()["v"]
     assert bytes(v).hex() == "00000000010261026200"
     df = spark.createDataFrame([("a", "b", 1755068432745)], "id string, text string, ms long")
-    v = df.select(encode_frame(F.col("id"), F.col("text"), F.timestamp_millis("ms"), 1).alias("v")).first()["v"]
+    v = encode_frames(df.withColumn("createdAt", F.timestamp_millis("ms")), out="v").first()["v"]
     assert bytes(v).hex().upper() == "000000000102610262D285D8A39466"
 
 
 def test_millisecond_truncation(spark):
     df = spark.createDataFrame([("a", "b", dt.datetime(2026, 9, 19, 2, 6, 16, 249123))],
                                "id string, text string, createdAt timestamp")
-    r = decode_frames(df.select(encode_frame(F.col("id"), F.col("text"), F.col("createdAt")).alias("value"))).first()
+    r = decode_frames(encode_frames(df).select("value")).first()
     assert r["record"]["createdAt"] == dt.datetime(2026, 9, 19, 2, 6, 16, 249000)
+
+
+def test_varint_lengths_at_byte_boundaries(spark):
+    # string lengths whose zig-zag needs 1, 2 and 3 varint bytes; ms values
+    # needing 1 to 8 bytes, both signs
+    rows = [("x" * n, "y" * m, ms) for n, m in [(0, 63), (64, 8191), (8192, 1)]
+            for ms in (0, -1, 63, -64, 1 << 20, -(1 << 34), 1 << 48, (1 << 53) - 1)]
+    df = spark.createDataFrame(rows, "id string, text string, ms long").withColumn(
+        "createdAt", F.timestamp_millis("ms"))
+    out = decode_frames(encode_frames(df)).select(
+        "id", "text", "ms", F.unix_millis("record.createdAt").alias("ms2"),
+        F.col("record.id").alias("id2"), F.col("record.text").alias("text2")).collect()
+    for r in out:
+        assert (r["id2"], r["text2"], r["ms2"]) == (r["id"], r["text"], r["ms"])
