@@ -48,13 +48,20 @@ class StagedLog:
         the ``start`` call, which clones the session, then restored."""
         conf = self.spark.conf
         key = "spark.sql.shuffle.partitions"
-        old = conf.get(key)
-        n = state_partitions or min(int(old), self.spark.sparkContext.defaultParallelism)
-        conf.set(key, str(n))
+        n = state_partitions or min(int(conf.get(key)), self.spark.sparkContext.defaultParallelism)
+        # The staged late-data rule relies on Spark's no-data batches.
+        pinned = {key: str(n), "spark.sql.streaming.noDataMicroBatches.enabled": "true"}
+        old = {k: conf.get(k, None) for k in pinned}
+        for k, v in pinned.items():
+            conf.set(k, v)
         try:
             q = build(self.stream()).trigger(availableNow=True).start()
         finally:
-            conf.set(key, old)
+            for k, v in old.items():
+                if v is None:
+                    conf.unset(k)
+                else:
+                    conf.set(k, v)
         try:
             q.awaitTermination()
         finally:
