@@ -77,12 +77,12 @@ def _counts_stream(stream: DataFrame) -> DataFrame:
 def decode_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per staged batch: records received and skipped, from streaming progress."""
     metrics.report_skips(spark)
+    staged = StagedLog(spark, "decode-metrics")
 
     def build(stream):
         return decode_messages(stream).writeStream.format("noop").option(
             "checkpointLocation", staged.path("ckpt")).queryName("decode_metrics_" + staged.root[-12:])
 
-    staged = StagedLog(spark, "decode-metrics")
     records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
     staged.feed(fixtures.staged_batches(records, STAGES, materialize_to=staged.path("source")), build)
     rows = []
@@ -95,22 +95,21 @@ def decode_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def window_counts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watermarked hourly counts through the append-mode Parquet sink."""
-    out = {}
+    staged = StagedLog(spark, "append")
+    path, ckpt = staged.path("out"), staged.path("ckpt")
 
     def build(stream):
-        return sinks.append_parquet(_counts_stream(stream), out["path"], out["ckpt"], "append_" + out["id"])
+        return sinks.append_parquet(_counts_stream(stream), path, ckpt, "append_" + staged.root[-12:])
 
-    staged = StagedLog(spark, "append")
-    out.update(path=staged.path("out"), ckpt=staged.path("ckpt"), id=staged.root[-12:])
     records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
     staged.feed(fixtures.staged_batches(records, STAGES, materialize_to=staged.path("source")), build)
-    return spark.read.parquet(out["path"])
+    return spark.read.parquet(path)
 
 
 def _upsert_run(spark: SparkSession, sf_dir: str, name: str, late: bool = False, crash_batch: bool = False):
     staged = StagedLog(spark, name)
     table = staged.path("table")
-    state = {"crashed": False, "last": None}
+    state = {"crashed": False, "armed": False}
 
     def crash_once(batch, batch_id):
         # Simulates a failure after the sink wrote but before the checkpoint
@@ -119,7 +118,6 @@ def _upsert_run(spark: SparkSession, sf_dir: str, name: str, late: bool = False,
             state["crashed"] = True
             raise RuntimeError(f"simulated crash after writing batch {batch_id}")
 
-    state["armed"] = False
     sink = sinks.ChangelogUpsert(table, on_written=crash_once)
 
     def build(stream):
@@ -168,16 +166,6 @@ def late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.latest_view(spark, table, COUNTS_KEY)
 
 
-def late_data_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows dropped by the watermark per staged batch (state metrics)."""
-    staged, _, _ = _upsert_run(spark, sf_dir, "late-dropped", late=True)
-    rows = []
-    for k, progs in enumerate(staged.progress):
-        dropped = sum(sum(op.numRowsDroppedByWatermark for op in p.stateOperators) for p in progs)
-        rows.append((k, dropped))
-    return spark.createDataFrame(rows, "batch int, dropped long")
-
-
 def resume_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append-mode counts from two runs of the same query: the second run
     resumes from the first run's checkpoint at the next offset."""
