@@ -192,7 +192,7 @@ def parquet_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_counts_append(spark, sf_dir).orderBy("window_start", "text").limit(100)
 
 
-def _retry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _retry_log(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
     """The events log with texts that trigger the failure simulator:
     error -> fail-always, view -> fail-transient, signup -> fail-invalid,
     others keep their type; each text gets -<event_id> appended."""
@@ -204,7 +204,7 @@ def _retry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(et)
     )
     text = F.concat(marker, F.lit("-"), F.col("event_id").cast("string"))
-    return fixtures.log_records(spark, sf_dir, text=text)
+    return fixtures.log_records(spark, sf_dir, text=text, keep_event_id=keep_event_id)
 
 
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,6 +254,24 @@ def dead_letter_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inspect(read_log(spark, path=dlt_path, streaming=False))
 
 
+def dead_letter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The consumer side as a stream: staged batches of the retry log routed
+    micro-batch by micro-batch; the dead-letter table it wrote, decoded."""
+    from ..operators.deadletter import dead_letter_fields
+    from ..sources.log import read_log
+    from ..streaming.router import DeadLetterRouter
+
+    staged = StagedLog(spark, "router")
+    router = DeadLetterRouter(staged.path("processed"), staged.path("dlt"))
+
+    def build(stream):
+        return router.writer(stream, staged.path("ckpt"), "router_" + staged.root[-12:])
+
+    records = _retry_log(spark, sf_dir, keep_event_id=True)
+    staged.feed(fixtures.staged_batches(records, STAGES, materialize_to=staged.path("source")), build)
+    return dead_letter_fields(read_log(spark, path=staged.path("dlt"), streaming=False))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_counts_batch": window_counts_batch,
     "decode_permissive": decode_permissive,
@@ -273,4 +291,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backoff_schedule": backoff_schedule,
     "dead_letter_table": dead_letter_table,
     "dead_letter_inspect": dead_letter_inspect,
+    "dead_letter_stream": dead_letter_stream,
 }

@@ -191,3 +191,4 @@ SQL: dict[str, str] = {
 """,
 }
 SQL["decode_permissive_columns"] = SQL["decode_permissive"]
+SQL["dead_letter_stream"] = SQL["dead_letter_table"]
