@@ -59,10 +59,28 @@ def start_console(spark: SparkSession, config: dict[str, str], name: str = "log_
     return sinks.console(decoded_stream(spark, config), config["checkpoint.location"], name).start()
 
 
+CHECKPOINT_KEYS = ("checkpoint.location", "parquet.checkpoint.location", "upsert.checkpoint.location")
+
+
+def check_checkpoints(config: dict[str, str], keys=CHECKPOINT_KEYS) -> None:
+    """One checkpoint per query: a second query started on a checkpoint in
+    use stops the first, and offsets or state would be mixed up."""
+    seen: dict[str, str] = {}
+    for k in keys:
+        loc = config.get(k)
+        if loc is None:
+            raise ValueError(f"missing {k}")
+        norm = loc.rstrip("/")
+        if norm in seen:
+            raise ValueError(f"{k} and {seen[norm]} share checkpoint {loc}; give each query its own")
+        seen[norm] = k
+
+
 def start_aggregation(spark: SparkSession, config: dict[str, str]) -> list[StreamingQuery]:
     """Console pass-through plus windowed counts to append-only Parquet and to
     a keyed table (change log, or a database through MERGE when jdbc.url is
     set).  Each query reads the log on its own, with its own checkpoint."""
+    check_checkpoints(config)
     queries = [start_console(spark, config)]
     counts = windowed(decoded_stream(spark, config), config)
     queries.append(_trigger(sinks.append_parquet(

@@ -90,3 +90,14 @@ def test_produce_and_write_log(spark, tmp_path):
     back = decode_frames(read_log(spark, path=path, streaming=False)).collect()
     got = sorted((r["record"]["text"] if r["record"] else None) or "" for r in back)
     assert got == sorted(["", "hello", "héllo wörld " * 10])
+
+
+def test_apps_refuse_shared_checkpoints():
+    from logweave.plans.apps import check_checkpoints
+
+    ok = {"checkpoint.location": "/c/a", "parquet.checkpoint.location": "/c/b", "upsert.checkpoint.location": "/c/c"}
+    check_checkpoints(ok)
+    with pytest.raises(ValueError, match="share checkpoint"):
+        check_checkpoints({**ok, "upsert.checkpoint.location": "/c/a/"})
+    with pytest.raises(ValueError, match="missing"):
+        check_checkpoints({"checkpoint.location": "/c/a"})
