@@ -41,7 +41,8 @@ def with_partition_offsets(
     n_buckets = math.ceil(span / width)
 
     b = "__lw_bucket"
-    keyed = df.withColumn(b, F.floor((F.col(order_col) - F.lit(int(lo))) / F.lit(width)))
+    # exact integer division: bucket = (key - lo) div width
+    keyed = df.withColumn(b, F.expr(f"(`{order_col}` - {int(lo)}L) div {width}L"))
     counts = keyed.groupBy(partition_col, b).agg(F.count(F.lit(1)).alias("__lw_n"))
     upto = Window.partitionBy(partition_col).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(

@@ -101,3 +101,20 @@ def test_apps_refuse_shared_checkpoints():
         check_checkpoints({**ok, "upsert.checkpoint.location": "/c/a/"})
     with pytest.raises(ValueError, match="missing"):
         check_checkpoints({"checkpoint.location": "/c/a"})
+
+
+def test_offsets_without_broadcast(spark, monkeypatch):
+    import logweave.sources.offsets as O
+
+    monkeypatch.setattr(O, "TARGET_BUCKETS", 3)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(0, 3000, 7).select(F.col("id").alias("k"), (F.col("id") % 2).cast("int").alias("p"))
+        got = with_partition_offsets(df, "p", "k")  # no partition bound given: no broadcast hint
+        assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        want = df.withColumn("offset", F.row_number().over(Window.partitionBy("p").orderBy("k")) - 1)
+        assert sorted(map(tuple, got.select("p", "k", "offset").collect())) == \
+            sorted(map(tuple, want.select("p", "k", "offset").collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
