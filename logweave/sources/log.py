@@ -43,6 +43,12 @@ def producer_options(config: dict[str, str]) -> dict[str, str]:
     return out
 
 
+# Spark Kafka source settings taken from the config when present (bounding
+# micro-batch size matters at scale: the router keeps one batch for two writes).
+SOURCE_OPTIONS = ("startingOffsets", "maxOffsetsPerTrigger", "minOffsetsPerTrigger", "minPartitions",
+                  "failOnDataLoss", "groupIdPrefix")
+
+
 def read_log(
     spark: SparkSession,
     config: dict[str, str] | None = None,
@@ -59,6 +65,7 @@ def read_log(
             "subscribe": config["topic"],
             "startingOffsets": "earliest",
             "includeHeaders": "true",
+            **{k: config[k] for k in SOURCE_OPTIONS if k in config},
             **kafka_options(config),
         }
         reader = spark.readStream if streaming else spark.read
