@@ -54,7 +54,9 @@ def encode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encode_roundtrip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole document texts (long, multi-byte) through the codec."""
     from ..functions.codec import decode_frames, encode_frames
+    from ..session import pin_utc
 
+    pin_utc(spark)
     docs = fixtures.spread(fixtures.read_table(spark, sf_dir, "documents")).select(
         F.col("doc_id").cast("string").alias("id"),
         F.col("text"),
