@@ -137,6 +137,9 @@ def _upsert_run(spark: SparkSession, sf_dir: str, name: str, late: bool = False,
             if not state["crashed"]:
                 raise
             staged.run(build)  # restart from the checkpoint: replays the batch
+            # forget the failed run so awaitAnyTermination() in this session
+            # does not return at once
+            spark.streams.resetTerminated()
     return staged, table, state
 
 
