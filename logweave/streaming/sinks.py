@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,15 +79,25 @@ class ChangelogUpsert:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self._check_owner(batch.sparkSession)
-        (
-            batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH_COL)
-            .parquet(self.table)
-        )
-        if self.on_written is not None:
-            self.on_written(batch, batch_id)
+        # The update output holds only the keys changed in this batch; keep
+        # it so the emptiness check and the write share one computation of
+        # the stateful plan, and skip the write job for empty batches (such
+        # as the no-data batches that only advance the watermark).
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if kept.count() == 0:
+                return
+            (
+                kept.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(BATCH_COL)
+                .parquet(self.table)
+            )
+            if self.on_written is not None:
+                self.on_written(kept, batch_id)
+        finally:
+            kept.unpersist()
 
     def writer(self, stream: DataFrame, checkpoint: str, name: str) -> DataStreamWriter:
         self.checkpoint = checkpoint
