@@ -127,6 +127,8 @@ def staged_batches(records: DataFrame, n_batches: int, late_mod: int | None = No
     ``materialize_to`` the records are encoded and written once, partitioned
     by batch, and each batch is read back from there (partition pruning)."""
     lo, hi = records.agg(F.min("event_id"), F.max("event_id")).first()
+    if lo is None:  # no records: every batch is empty
+        return [records.drop("event_id") for _ in range(n_batches)]
     span = int(hi) - int(lo) + 1
     batch = F.floor((F.col("event_id") - F.lit(int(lo))) * F.lit(n_batches) / F.lit(span)).cast("int")
     if late_mod:

@@ -118,3 +118,16 @@ def test_offsets_without_broadcast(spark, monkeypatch):
             sorted(map(tuple, want.select("p", "k", "offset").collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_staged_batches_cover_all_records(spark):
+    from logweave.sources.fixtures import staged_batches
+
+    df = spark.range(0, 1000).select(F.col("id").alias("event_id"), F.col("id").alias("x"))
+    parts = staged_batches(df, 4, late_mod=13)
+    got = sorted(r["x"] for p in parts for r in p.collect())
+    assert got == list(range(1000)) and all("event_id" not in p.columns for p in parts)
+    # late records move to the next batch, the last batch keeps its own
+    assert 13 in {r["x"] for r in parts[1].collect()} and 0 in {r["x"] for r in parts[1].collect()}
+    empty = staged_batches(df.limit(0), 3)
+    assert len(empty) == 3 and all(p.count() == 0 for p in empty)
