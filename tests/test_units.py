@@ -131,3 +131,21 @@ def test_staged_batches_cover_all_records(spark):
     assert 13 in {r["x"] for r in parts[1].collect()} and 0 in {r["x"] for r in parts[1].collect()}
     empty = staged_batches(df.limit(0), 3)
     assert len(empty) == 3 and all(p.count() == 0 for p in empty)
+
+
+def test_properties_and_late_publish(spark, tmp_path):
+    import datetime as dt
+
+    from logweave.__main__ import publish_late, read_properties
+    from logweave.operators.decode import decode_messages
+    from logweave.sources.log import read_log
+
+    props = tmp_path / "app.properties"
+    props.write_text("# comment\nwindow.duration=1 minute\nlog.path = %s\nflag\n" % (tmp_path / "log"))
+    cfg = read_properties(str(props))
+    assert cfg["window.duration"] == "1 minute" and cfg["log.path"] == str(tmp_path / "log") and cfg["flag"] == ""
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    publish_late(spark, cfg, "dropped_too_old", 300)
+    row = decode_messages(read_log(spark, path=cfg["log.path"], streaming=False)).first()
+    assert row["text"] == "dropped_too_old"
+    assert dt.timedelta(seconds=290) < now - row["createdAt"] < dt.timedelta(seconds=400)
