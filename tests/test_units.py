@@ -149,3 +149,13 @@ def test_properties_and_late_publish(spark, tmp_path):
     row = decode_messages(read_log(spark, path=cfg["log.path"], streaming=False)).first()
     assert row["text"] == "dropped_too_old"
     assert dt.timedelta(seconds=290) < now - row["createdAt"] < dt.timedelta(seconds=400)
+
+
+def test_produced_records_carry_topic(spark):
+    from logweave.operators.produce import framed, new_messages, raw_records
+
+    texts = spark.createDataFrame([("a",)], "text string")
+    rec = framed(new_messages(texts), schema_id=3, topic="messages").first()
+    assert rec["topic"] == "messages" and bytes(rec["value"])[:5] == b"\x00\x00\x00\x00\x03"
+    raw = raw_records(spark.createDataFrame([(bytearray(b"xyz"),)], "value binary"), topic="t").first()
+    assert raw["topic"] == "t" and bytes(raw["value"]) == b"xyz" and raw["key"] is None
