@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweave.llm import quality
+from logweave.llm import lines, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,5 +19,13 @@ def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op10_quality_discriminant,)}
-SQL: dict[str, str] = {}
+def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(table(spark, sf_dir, "documents"))
+
+
+def op9_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_line_runs, op9_simhash_gray, op10_quality_discriminant)}
+SQL: dict[str, str] = {"op7_line_runs": lines.SQL}
