@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweave.llm import lines, quality, simhash
+from logweave.llm import lines, mixing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op10_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.source_mix(table(spark, sf_dir, "documents"))
+
+
 def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(table(spark, sf_dir, "documents"))
 
@@ -27,5 +31,5 @@ def op9_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op7_line_runs, op9_simhash_gray, op10_quality_discriminant)}
-SQL: dict[str, str] = {"op7_line_runs": lines.SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op7_line_runs, op9_simhash_gray, op10_quality_discriminant)}
+SQL: dict[str, str] = {"op1_source_mix": mixing.SQL, "op7_line_runs": lines.SQL}
