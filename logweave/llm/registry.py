@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from logweave.llm import lines, mixing, quality, simhash
+from logweave.llm import lines, mixing, packing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,9 +28,13 @@ def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op7_line_runs, op9_simhash_gray, op10_quality_discriminant)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op7_line_runs, op8_packing, op9_simhash_gray, op10_quality_discriminant)}
 SQL: dict[str, str] = {"op1_source_mix": mixing.SQL, "op7_line_runs": lines.SQL}
