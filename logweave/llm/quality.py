@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from logweave.llm.storage import free_name, remainder, staged
 from logweave.llm.text import slices, text_bytes, word_codes, word_spans
@@ -149,7 +150,7 @@ def scored_table(table: DataFrame, model: Discriminant) -> DataFrame:
 
 def with_score(docs: DataFrame, model: Discriminant, into: str, text_column: str = "text") -> DataFrame:
     """``docs`` with all its columns, and each row's score as column ``into``."""
-    schema = docs.schema.add(into, "double")
+    schema = StructType([*docs.schema.fields, StructField(into, DoubleType())])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text_column):

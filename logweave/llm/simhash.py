@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from logweave.llm.components import components, local_components
 from logweave.llm.storage import free_name, staged
@@ -77,7 +78,7 @@ def fingerprints(docs: DataFrame, shingle: int, into: str = "fp", keep: bool = F
     source = docs if keep else docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     text = text_column if keep else "text"
     held = source.columns if keep else ["doc_id"]
-    schema = source.select(*held).schema.add(into, "long")
+    schema = StructType([*(source.schema[c] for c in held), StructField(into, LongType())])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):
