@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logweave.llm import lines, mixing, packing, quality, simhash
+from logweave.llm import lattice, lines, mixing, packing, quality, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,14 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.source_mix(table(spark, sf_dir, "documents"))
 
 
+def op5_lattice_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op6_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(table(spark, sf_dir, "documents"))
 
@@ -36,5 +45,5 @@ def op9_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op7_line_runs, op8_packing, op9_simhash_gray, op10_quality_discriminant)}
-SQL: dict[str, str] = {"op1_source_mix": mixing.SQL, "op7_line_runs": lines.SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op5_lattice_near_duplicates, op6_threshold_topk, op7_line_runs, op8_packing, op9_simhash_gray, op10_quality_discriminant)}
+SQL: dict[str, str] = {"op1_source_mix": mixing.SQL, "op6_threshold_topk": topk.SQL, "op7_line_runs": lines.SQL}
