@@ -145,7 +145,8 @@ def without_later_copies(docs: DataFrame, min_words: int = MIN_WORDS, length_col
     ``count`` names two more columns: how many lines a text had, and how many went.
     """
     gone = staged(later_copies(docs, min_words), "lines-gone")
-    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("doc_hash").alias("gone_hash"), F.col("gone").alias("gone_lines"))
+    # it grows with the input, so it is never broadcast
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("doc_hash").alias("gone_hash"), F.col("gone").alias("gone_lines")).hint("merge")
     mark = free_name(docs, "text_hash")
     keyed = docs.withColumn(mark, F.xxhash64("text"))
     met = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["gone_id"]) & (keyed[mark] == gone["gone_hash"]) & keyed["text"].isNotNull(), "left")
