@@ -19,6 +19,7 @@ of their own; rows without id are packed like others. Extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -130,28 +131,38 @@ def _first_basis(demand: np.ndarray, size: np.ndarray, capacity: int) -> np.ndar
     return basis
 
 
-def relaxed(demand: np.ndarray, size: np.ndarray, capacity: int, rounds: int = 4000) -> list[tuple[np.ndarray, float]]:
-    """Patterns and how often each is used in the linear program's solution (column generation)."""
+def relaxed(demand: np.ndarray, size: np.ndarray, capacity: int) -> list[tuple[np.ndarray, float]]:
+    """Patterns and how often each is used in the linear program's solution (column generation).
+
+    Demands are raised by tiny, distinct amounts, so that no step is degenerate. It ends at the
+    optimum, or when as many rounds as there are bins have hardly lowered the value.
+    """
     m = len(size)
+    demand = demand + 1e-4 * (1 + np.arange(m) / m)
     patterns = _first_basis(demand, size, capacity)  # columns
-    inverse = np.linalg.inv(patterns)
-    used = np.maximum(inverse @ demand, 0)
-    for step in range(rounds):
+    inverse = np.zeros((m, m))
+    for k in range(m - 1, -1, -1):  # plain sums throughout: threaded matrix products stall on a busy machine
+        inverse[k] = -(patterns[k, k + 1:, None] * inverse[k + 1:]).sum(0)
+        inverse[k, k] += 1
+        inverse[k] /= patterns[k, k]
+    used = np.maximum((inverse * demand).sum(1), 0)
+    reached: list[float] = []
+    for step in itertools.count():
+        reached.append(float(used.sum()))
+        if step >= m and reached[step - m] - reached[step] < GAP * reached[step]:
+            break
         value, pattern = _priced(inverse.sum(0), size, capacity)
         if value <= 1 + GAP:
             break
-        change = inverse @ pattern
+        change = (inverse * pattern).sum(1)
         ratio = np.where(change > 1e-9, used / np.where(change > 1e-9, change, 1), np.inf)
         out = int(ratio.argmin())
         used = np.maximum(used - ratio[out] * change, 0)
         used[out] = ratio[out]
         patterns[:, out] = pattern
         row = inverse[out] / change[out]
-        inverse -= np.outer(change, row)
+        inverse -= change[:, None] * row
         inverse[out] = row
-        if step % 200 == 199:  # against rounding errors
-            inverse = np.linalg.inv(patterns)
-            used = np.maximum(inverse @ demand, 0)
     return [(patterns[:, k].astype(int), float(used[k])) for k in range(m)]
 
 
