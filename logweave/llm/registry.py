@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import lattice, lines, mixing, packing, quality, simhash, topk
+from logweave.llm import language, lattice, lines, mixing, packing, quality, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.source_mix(table(spark, sf_dir, "documents"))
 
 
+def op2_byte_network_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 def op5_lattice_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -45,5 +49,5 @@ def op9_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op5_lattice_near_duplicates, op6_threshold_topk, op7_line_runs, op8_packing, op9_simhash_gray, op10_quality_discriminant)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op2_byte_network_languages, op5_lattice_near_duplicates, op6_threshold_topk, op7_line_runs, op8_packing, op9_simhash_gray, op10_quality_discriminant)}
 SQL: dict[str, str] = {"op1_source_mix": mixing.SQL, "op6_threshold_topk": topk.SQL, "op7_line_runs": lines.SQL}
