@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import contextmix, language, lattice, lines, mixing, packing, quality, simhash, topk
+from logweave.llm import chat, contextmix, language, lattice, lines, mixing, packing, quality, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op2_byte_network_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted_chats(table(spark, sf_dir, "conversations"))
+
+
 def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contextmix.language_model_scores(table(spark, sf_dir, "documents"))
 
@@ -53,5 +57,5 @@ def op9_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op2_byte_network_languages, op4_context_mixing, op5_lattice_near_duplicates, op6_threshold_topk, op7_line_runs, op8_packing, op9_simhash_gray, op10_quality_discriminant)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op2_byte_network_languages, op3_chat_turns, op4_context_mixing, op5_lattice_near_duplicates, op6_threshold_topk, op7_line_runs, op8_packing, op9_simhash_gray, op10_quality_discriminant)}
 SQL: dict[str, str] = {"op1_source_mix": mixing.SQL, "op6_threshold_topk": topk.SQL, "op7_line_runs": lines.SQL}
