@@ -4,6 +4,8 @@ Commands:
   console                      print decoded messages as they arrive
   aggregation                  console + windowed counts to Parquet and a keyed table
   parquet-inspect              first 100 window counts of the Parquet output
+  dead-letter-route            check records, write the router table, publish dead letters
+  dead-letter-inspect          print dead letters in typed columns as they arrive
   late-data TEXT SECONDS_AGO   publish one message whose createdAt is back-dated
 
 CONFIG is a properties file (``key=value`` lines, ``#`` comments) with the
@@ -36,10 +38,11 @@ def read_properties(path: str) -> dict[str, str]:
 
 def publish_late(spark: SparkSession, config: dict[str, str], text: str, seconds_ago: int) -> None:
     from .operators.produce import framed, new_messages
+    from .plans.apps import registered_schema
     from .sources.log import write_log
 
     texts = spark.createDataFrame([(text,)], "text string")
-    records = framed(new_messages(texts, seconds_ago=seconds_ago), schema_id=int(config.get("schema.id", "1")))
+    records = framed(new_messages(texts, seconds_ago=seconds_ago), schema_id=registered_schema(spark, config)[0])
     write_log(records, config, path=config.get("log.path"))
 
 
@@ -59,6 +62,10 @@ def main(argv: list[str]) -> int:
         spark.streams.awaitAnyTermination()
     elif command == "parquet-inspect":
         apps.inspect_parquet(spark, config["parquet.output.path"]).show(100, truncate=False)
+    elif command == "dead-letter-route":
+        apps.start_dead_letter_route(spark, config).awaitTermination()
+    elif command == "dead-letter-inspect":
+        apps.start_dead_letter_inspect(spark, config).awaitTermination()
     elif command == "late-data" and len(argv) == 4:
         publish_late(spark, config, argv[2], int(argv[3]))
     else:

@@ -47,5 +47,3 @@ def lossy_text(v: Column) -> Column:
     return F.call_function("make_valid_utf8", v.cast("string"))
 
 
-def hex_preview(v: Column, n: int) -> Column:
-    return F.lower(F.hex(v.substr(F.lit(1), F.lit(n))))

@@ -12,15 +12,16 @@ schema (no schema evolution).  Nothing here throws under ANSI mode.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .varint import read_varint, varint_hex_sql, varint_len_sql, zigzag
+from ..schemas import MESSAGE_AVRO_SCHEMA
+from .varint import varint_hex_sql, varint_len_sql, zigzag
 
 MAGIC = b"\x00"
 HEADER_BYTES = 5
-# Largest |millis| whose microsecond value fits in a long.
-_MAX_MILLIS = 9223372036854775
 
 
 def frame_header(schema_id: int) -> Column:
@@ -33,7 +34,7 @@ def encode_frames(
 ) -> DataFrame:
     """Add binary column ``out``: the framed message of each row.
 
-    Staged like ``decode_frames`` so each zig-zag value and varint length is
+    Staged over several projections so each zig-zag value and varint length is
     computed once per row and the optimizer sees small expressions.
     """
     p = "__lw_e"
@@ -80,67 +81,41 @@ def frame_schema_id(value: Column) -> Column:
     return F.when(frame_ok(value), F.conv(F.hex(value.substr(F.lit(2), F.lit(4))), 16, 10).cast("int"))
 
 
-def decode_frames(df: DataFrame, value_col: str = "value", out: str = "record", engine: str = "arrow") -> DataFrame:
-    """Add struct column ``out`` (id, text, createdAt) decoded from ``value_col``.
+def check_message_schema(schema: str) -> None:
+    """The scanner reads one layout: a record of the string fields id and text
+    and the timestamp-millis field createdAt.  Any other schema is refused here;
+    read with it, every record would look undecodable and be dropped."""
+    got = json.loads(schema)
+    fields = [(f.get("name"), f.get("type")) for f in got.get("fields", [])] if isinstance(got, dict) and got.get("type") == "record" else None
+    if fields != [(f["name"], f["type"]) for f in json.loads(MESSAGE_AVRO_SCHEMA)["fields"]]:
+        raise ValueError(f"only records of id, text and createdAt can be read without Spark's Avro package; the schema is {schema}")
+
+
+def decode_frames(df: DataFrame, value_col: str = "value", out: str = "record",
+                  schema: str = MESSAGE_AVRO_SCHEMA, avro_package: bool = False) -> DataFrame:
+    """Add struct column ``out`` decoded from ``value_col`` with the given writer schema.
 
-    ``engine="arrow"`` (default) locates the fields with the vectorised
-    scanner in ``framescan`` and cuts the strings JVM-side; ``"columns"``
-    does everything with built-in column expressions (no Python workers,
-    but ~35 us per row per core).  Both give identical results.
+    With ``avro_package`` (Spark's spark-avro is deployed) the body goes through
+    ``from_avro`` in PERMISSIVE mode and may have any schema.  Otherwise the
+    vectorised scanner in ``framescan`` finds the fields of the message record,
+    other schemas are refused, and the strings are cut JVM-side.
 
-    The work is split over a few projections so each varint window and
-    position is computed once; the intermediate columns are dropped again.
     Callers filtering on ``out`` should keep a barrier (``observe``) between
     this and the filter, as ``decode_messages`` does, so the optimizer does
     not inline the staged columns into the predicate.
     """
-    if engine == "arrow":
-        return _decode_arrow(df, value_col, out)
-    p = "__lw_"
     v = F.col(value_col)
     cols = df.columns
-    s = df.select(*cols, F.when(frame_ok(v), frame_body(v)).alias(p + "body"))
-    s = s.select("*", F.length(p + "body").alias(p + "blen"))
-    pos = F.lit(1)
-    for k in (1, 2):
-        s = _read_length(s, p, k, pos)
-        pos = F.col(f"{p}q{k}")
-    s = read_varint(s, p + "body", pos, p + "ms")
-    ms = F.col(p + "ms")
-    ok = ms.isNotNull() & (ms >= -_MAX_MILLIS) & (ms <= _MAX_MILLIS)
-    body = F.col(p + "body")
-    record = F.when(
-        ok,
-        F.struct(
-            body.substr(F.col(p + "s1"), F.col(p + "l1")).cast("string").alias("id"),
-            body.substr(F.col(p + "s2"), F.col(p + "l2")).cast("string").alias("text"),
-            F.timestamp_millis(F.when(ok, ms)).alias("createdAt"),
-        ),
-    )
-    return s.select(*cols, record.alias(out))
-
-
-ARROW_BATCH_BYTES = 64 << 20
+    if avro_package:
+        from pyspark.sql.avro.functions import from_avro
 
-
-def _bound_arrow_batches(spark) -> None:
-    """Values can be large (whole documents); bound the bytes of each Arrow
-    batch sent to the scanner unless the session already bounds them."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    cur = spark.conf.get(key, None)
-    digits = "".join(ch for ch in (cur or "") if ch.isdigit())
-    if not digits or int(digits) <= 0 or int(digits) > 4 * ARROW_BATCH_BYTES:
-        spark.conf.set(key, str(ARROW_BATCH_BYTES))
-
-
-def _decode_arrow(df: DataFrame, value_col: str, out: str) -> DataFrame:
+        body = F.when(frame_ok(v), frame_body(v))
+        return df.select(*cols, from_avro(body, schema, {"mode": "PERMISSIVE"}).alias(out))
     from .framescan import scan_frames
 
-    _bound_arrow_batches(df.sparkSession)
-    cols = df.columns
+    check_message_schema(schema)
     scan = "__lw_scan"
-    s = df.select(*cols, scan_frames(F.col(value_col)).alias(scan))
-    v = F.col(value_col)
+    s = df.select(*cols, scan_frames(v).alias(scan))
     record = F.when(
         F.col(scan).isNotNull(),
         F.struct(
@@ -150,23 +125,3 @@ def _decode_arrow(df: DataFrame, value_col: str, out: str) -> DataFrame:
         ),
     )
     return s.select(*cols, record.alias(out))
-
-
-def _read_length(s: DataFrame, p: str, k: int, pos: Column) -> DataFrame:
-    """Read string length varint ``k`` at ``pos``: adds s<k> (first string
-    byte), l<k> (length, as int) and q<k> (position after the string); all
-    null when the varint or the string does not fit in the body."""
-    s = read_varint(s, p + "body", pos, f"{p}len{k}")
-    s = s.select("*", (pos + F.col(f"{p}len{k}_n")).alias(f"{p}s{k}_"))
-    start, ln = F.col(f"{p}s{k}_"), F.col(f"{p}len{k}")
-    blen = F.col(p + "blen")
-    sane = start.isNotNull() & (ln >= 0) & (ln <= blen)
-    # CASE keeps `start - 1 + ln` from being evaluated (and overflowing
-    # under ANSI) for absurd lengths.
-    fits = F.coalesce(F.when(sane, start - 1 + ln <= blen), F.lit(False))
-    return s.select(
-        "*",
-        F.when(fits, start).alias(f"{p}s{k}"),
-        F.when(fits, ln.cast("int")).alias(f"{p}l{k}"),
-        F.when(fits, (start + ln).cast("int")).alias(f"{p}q{k}"),
-    )

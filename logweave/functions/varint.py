@@ -1,90 +1,22 @@
-"""Avro zig-zag varints as Spark column expressions.
+"""Avro zig-zag varints for encoding, as Spark column expressions.
 
-These back the column-only decode engine (``decode_frames(engine=
-"columns")``); the default engine locates varints with the vectorised
-scanner in ``framescan`` instead.  Decoding reads a bounded window of at
-most 10 bytes (the longest long varint), so its cost does not depend on the
-length of the value:
-
-* a regular expression over the window's hex text finds the bytes up to and
-  including the first one below 0x80 (no match: truncated or over-long);
-* ``reverse`` of that hex text read by ``conv`` is a long whose byte ``j``
-  is byte ``j`` of the varint with its two nibbles swapped, so the 7-bit
-  groups are picked out with shifts and masks on a long.
-
-Encoding (``varint_len_sql`` / ``varint_hex_sql``: SQL text, so a whole
-varint is built as one expression) spreads the 7-bit groups into the bytes
-of one long (at most 8 bytes, enough for any string length and any Spark
-timestamp in milliseconds) and writes it as hex once.
+``varint_len_sql`` / ``varint_hex_sql`` are SQL text, so a whole varint is
+built as one expression: the 7-bit groups are spread into the bytes of one
+long (at most 8 bytes, enough for any string length and any Spark timestamp in
+milliseconds), which is written as hex once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MAX_VARINT_BYTES = 10
-_VARINT_HEX = r"^((?:[89A-F][0-9A-F]){0,9}[0-7][0-9A-F])"
-
 
 def zigzag(n: Column) -> Column:
     n = n.cast("long")
     return F.shiftleft(n, 1).bitwiseXOR(F.shiftright(n, 63))
 
 
-def unzigzag(z: Column) -> Column:
-    return F.shiftrightunsigned(z, 1).bitwiseXOR(-(z.bitwiseAND(F.lit(1))))
-
-
-def varint_window_hex(body: Column, pos: Column) -> Column:
-    """Hex text of the (up to) 10 bytes starting at 1-based ``pos``."""
-    return F.hex(body.substr(pos, F.lit(MAX_VARINT_BYTES)))
-
-
-def varint_hex(window_hex: Column) -> Column:
-    """Hex text of the varint at the start of the window ('' when none)."""
-    return F.regexp_extract(window_hex, _VARINT_HEX, 1)
-
-
-def varint_halves(vhex: Column) -> tuple[Column, Column]:
-    """Bytes 1-8 and 9-10 of a varint (hex text) as nibble-swapped longs."""
-    lo = F.conv(F.reverse(F.substring(vhex, 1, 16)), 16, -10).cast("long")
-    hi = F.coalesce(F.conv(F.reverse(F.substring(vhex, 17, 4)), 16, -10).cast("long"), F.lit(0).cast("long"))
-    return lo, hi
-
-
-def varint_raw(lo: Column, hi: Column) -> Column:
-    """Unsigned value (as 64 bits) of a varint from ``varint_halves``.
-    ``lo`` and ``hi`` should be column references (they are used 20 times)."""
-    raw = None
-    for j in range(MAX_VARINT_BYTES):
-        src, k = (lo, j) if j < 8 else (hi, j - 8)
-        hi_nib = F.shiftrightunsigned(src, 8 * k).bitwiseAND(F.lit(7))
-        lo_nib = F.shiftrightunsigned(src, 8 * k + 4).bitwiseAND(F.lit(15))
-        group = F.shiftleft(F.shiftleft(hi_nib, 4).bitwiseOR(lo_nib), 7 * j)
-        raw = group if raw is None else raw.bitwiseOR(group)
-    return raw
-
-
-def read_varint(df: DataFrame, body: str, pos: Column, name: str) -> DataFrame:
-    """Add ``name`` (zig-zag decoded long) and ``name``_n (its byte count)
-    for the varint at 1-based ``pos`` of binary column ``body``; both null
-    when no complete varint starts there.  Staged so every intermediate is
-    computed once."""
-    t = f"{name}__"
-    df = df.select("*", varint_hex(varint_window_hex(F.col(body), pos)).alias(t + "h"))
-    h = F.col(t + "h")
-    lo, hi = varint_halves(h)
-    df = df.select("*", lo.alias(t + "lo"), hi.alias(t + "hi"))
-    df = df.select("*", varint_raw(F.col(t + "lo"), F.col(t + "hi")).alias(t + "raw"))
-    ok = F.length(h) > 0
-    return df.select(
-        *[c for c in df.columns if not c.startswith(t)],
-        F.when(ok, unzigzag(F.col(t + "raw"))).alias(name),
-        F.when(ok, (F.length(h) / 2).cast("int")).alias(name + "_n"),
-    )
-
-
 # 0x0F0F0F0F0F0F0F0F and 0x8080808080808080 as signed longs
 _NIBBLES = 1085102592571150095
 _CONT = -9187201950435737472

@@ -1 +1 @@
-"""DataFrame operators: decode, windowed counts, retry, dead letters."""
+"""DataFrame operators: decode, windowed counts, dead letters, producing."""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode_frames
+from ..schemas import MESSAGE_AVRO_SCHEMA
 
 DECODE_METRICS = "log_decode"
 
@@ -17,16 +18,13 @@ def decoded(record: str = "record") -> Column:
     return F.col(record).isNotNull() & F.col(f"{record}.id").isNotNull()
 
 
-def with_records(log: DataFrame, engine: str = "arrow") -> DataFrame:
-    return decode_frames(log, "value", "record", engine=engine)
-
-
 def decode_messages(log: DataFrame, observe: str | Observation | None = DECODE_METRICS,
-                    engine: str = "arrow") -> DataFrame:
+                    schema: str = MESSAGE_AVRO_SCHEMA, avro_package: bool = False) -> DataFrame:
     """Drop and count undecodable records; keep id, text, createdAt plus the
-    log position columns.  Counts are taken before the filter:
+    log position columns.  ``schema`` is the writer schema's text (see
+    ``sources.catalog.latest_schema``).  Counts are taken before the filter:
     ``received`` = all records, ``skipped`` = dropped ones."""
-    rec = with_records(log, engine)
+    rec = decode_frames(log, "value", "record", schema, avro_package)
     # Always observed: besides the counts, CollectMetrics is the barrier
     # that keeps the filter below from being pushed into (and inlining) the
     # staged decode projections, or below a repartition of the input.

@@ -6,22 +6,34 @@ Keys follow the usual property names: ``bootstrap.servers``, ``topic`` and
 ``checkpoint.location``, ``parquet.output.path``,
 ``parquet.checkpoint.location``, ``upsert.table.path``,
 ``upsert.checkpoint.location`` and, for a database sink, ``jdbc.url``,
-``jdbc.table``, ``jdbc.user``, ``jdbc.password``.  Every query is named
-and has its own checkpoint.
+``jdbc.table``, ``jdbc.user``, ``jdbc.password``, ``jdbc.driver``.
+``maxFilesPerTrigger``, ``maxBytesPerTrigger`` (log table) and
+``maxOffsetsPerTrigger`` (Kafka) bound a micro-batch.  ``schema.catalog.path``
+names a catalog table from which the topic's latest schema is taken, and
+``avro.package`` = true says that Spark's Avro package is deployed.  Dead letters:
+``router.table.path``, ``router.checkpoint.location``, ``dead.letter.topic`` (also
+publish to this topic), ``dead.letter.path`` (a log table to inspect),
+``dead.letter.checkpoint.location``.  Every query is named and has its own
+checkpoint.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ..operators.deadletter import REQUIRED, DeadLetterConfig, Rule, inspect
 from ..operators.decode import DECODE_METRICS, decode_messages
 from ..operators.windows import windowed_counts
-from ..schemas import COUNTS_KEY
-from ..session import pin_utc
+from ..schemas import COUNTS_KEY, MESSAGE_AVRO_SCHEMA
+from ..session import require_utc
+from ..sources.catalog import latest_schema, value_subject
 from ..sources.log import read_log
 from ..streaming import metrics, sinks
+from ..streaming.router import DeadLetterRouter
 
 # Default window, lateness and trigger.
 DEFAULTS = {
@@ -35,12 +47,25 @@ def _get(config: dict[str, str], key: str) -> str:
     return config.get(key, DEFAULTS.get(key))
 
 
+def registered_schema(spark: SparkSession, config: dict[str, str], topic: str | None = None) -> tuple[int, str]:
+    """(id, text) of the topic's latest schema in the catalog; the message schema and
+    the configured ``schema.id`` when no catalog is configured."""
+    if "schema.catalog.path" in config:
+        return latest_schema(spark.read.parquet(config["schema.catalog.path"]), value_subject(topic or config["topic"]))
+    return int(config.get("schema.id", "1")), MESSAGE_AVRO_SCHEMA
+
+
+def avro_package(config: dict[str, str]) -> bool:
+    return config.get("avro.package", "false").lower() == "true"
+
+
 def decoded_stream(spark: SparkSession, config: dict[str, str]) -> DataFrame:
     """Decoded messages from the configured log; undecodable records are
     dropped, counted per batch and reported by the skip listener."""
-    pin_utc(spark)
+    require_utc(spark)
     metrics.report_skips(spark)
-    return decode_messages(read_log(spark, config, path=config.get("log.path")), observe=DECODE_METRICS)
+    return decode_messages(read_log(spark, config, path=config.get("log.path")), observe=DECODE_METRICS,
+                           schema=registered_schema(spark, config)[1], avro_package=avro_package(config))
 
 
 def windowed(decoded: DataFrame, config: dict[str, str]) -> DataFrame:
@@ -87,9 +112,8 @@ def start_aggregation(spark: SparkSession, config: dict[str, str]) -> list[Strea
         counts, config["parquet.output.path"], config["parquet.checkpoint.location"], "log_counts_parquet"),
         config).start())
     if config.get("jdbc.url"):
-        target = sinks.JdbcUpsert(config["jdbc.url"], config.get("jdbc.table", "topic_counts"), COUNTS_KEY,
-                                  ["count"], {"user": config.get("jdbc.user", ""),
-                                              "password": config.get("jdbc.password", "")})
+        props = {k: config[f"jdbc.{k}"] for k in ("user", "password", "driver") if f"jdbc.{k}" in config}
+        target = sinks.JdbcUpsert(config["jdbc.url"], config["jdbc.table"], COUNTS_KEY, ["count"], props, query="log_counts_jdbc")
         writer = (counts.writeStream.outputMode("update")
                   .option("checkpointLocation", config["upsert.checkpoint.location"])
                   .queryName("log_counts_jdbc").foreachBatch(target))
@@ -100,6 +124,32 @@ def start_aggregation(spark: SparkSession, config: dict[str, str]) -> list[Strea
     return queries
 
 
+def start_dead_letter_route(spark: SparkSession, config: dict[str, str], rules: Sequence[Rule] = REQUIRED) -> StreamingQuery:
+    """The consumer: every record checked and written to the router table, dead
+    letters also to ``dead.letter.topic`` when that is set."""
+    require_utc(spark)
+    topic = config.get("dead.letter.topic")
+    schema_id, schema = registered_schema(spark, config)
+    cfg = DeadLetterConfig(topic=topic or f"{config.get('topic', 'messages')}-dlt", schema_id=schema_id,
+                           schema=schema, avro_package=avro_package(config))
+    router = DeadLetterRouter(config["router.table.path"], rules, cfg, publish=config if topic else None)
+    log = read_log(spark, config, path=config.get("log.path"))
+    return _trigger(router.writer(log, config["router.checkpoint.location"], "log_dead_letters"), config).start()
+
+
+def dead_letter_log(config: dict[str, str]) -> dict[str, str]:
+    """The config with the dead-letter topic as its topic."""
+    return config | ({"topic": config["dead.letter.topic"]} if "dead.letter.topic" in config else {})
+
+
+def start_dead_letter_inspect(spark: SparkSession, config: dict[str, str]) -> StreamingQuery:
+    """Dead letters, from their topic or log table, printed in typed columns as they arrive."""
+    require_utc(spark)
+    dlt = read_log(spark, dead_letter_log(config), path=config.get("dead.letter.path"))
+    rows = inspect(dlt, registered_schema(spark, config)[1], avro_package(config))
+    return _trigger(sinks.console(rows, config["dead.letter.checkpoint.location"], "dead_letter_inspect"), config).start()
+
+
 def inspect_parquet(spark: SparkSession, path: str, n: int = 100) -> DataFrame:
     """First ``n`` window counts of the Parquet output, by window and text."""
     return spark.read.parquet(path).orderBy("window_start", "text").limit(n)

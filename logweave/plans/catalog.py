@@ -9,26 +9,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.decode import DECODE_METRICS, decode_messages
+from ..functions.codec import decode_frames, encode_frames
+from ..operators.deadletter import Rule, dead_letter_fields, dead_letters, inspect, processed, route
+from ..operators.decode import decode_messages
 from ..operators.windows import windowed_counts
 from ..schemas import COUNTS_KEY
+from ..session import new_run_dir, require_utc
 from ..sources import fixtures
-from ..streaming import metrics, sinks
+from ..sources.log import read_log, write_log
+from ..streaming import metrics, router, sinks
+from ..streaming.router import DeadLetterRouter
 from ..streaming.runner import StagedLog
 
 # Queries run on the events data: ~4.3 min between events at sf0.01, so the
 # 1 min / 2 min defaults would make near-empty windows; use 1 h / 2 h.
 WINDOW = "1 hour"
 WATERMARK = "2 hours"
-STAGES = 3          # staged batches for the in-order streaming queries
+STAGES = 10         # files of the in-order streaming queries, one micro-batch each
+METRIC_STAGES = 3   # event_id ranges of the decode metrics
 LATE_STAGES = 4     # staged batches for the late-data query
 LATE_MOD = 13       # event_id % 13 = 0 arrives one batch late
+#: What a decoded event must meet to be processed.
+EVENT_TYPES = ("click", "purchase", "signup", "view")
+RULES = (Rule("unknown event type", lambda r: r["text"].isin(*EVENT_TYPES)),
+         Rule("created before noon", lambda r: F.hour(r["createdAt"]) >= 12))
 
 
 def window_counts_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages per text per hour over the decoded log (poison dropped)."""
-    log = fixtures.log_records(spark, sf_dir, with_offsets=False)
-    return windowed_counts(decode_messages(log, observe=None), WINDOW)
+    return windowed_counts(decode_messages(fixtures.log_records(spark, sf_dir), observe=None), WINDOW)
 
 
 def decode_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,15 +45,8 @@ def decode_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_messages(fixtures.log_records(spark, sf_dir), observe=None)
 
 
-def decode_permissive_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """decode_permissive with the JVM-only column decoder (no Python workers)."""
-    return decode_messages(fixtures.log_records(spark, sf_dir), observe=None, engine="columns")
-
-
 def encode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event encoded as a framed message and decoded again."""
-    from ..functions.codec import decode_frames, encode_frames
-
     msgs = fixtures.messages(spark, sf_dir)
     enc = encode_frames(msgs, out="value", schema_id=fixtures.SCHEMA_ID)
     dec = decode_frames(enc.select("value"))
@@ -53,11 +55,8 @@ def encode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encode_roundtrip_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole document texts (long, multi-byte) through the codec."""
-    from ..functions.codec import decode_frames, encode_frames
-    from ..session import pin_utc
-
-    pin_utc(spark)
-    docs = fixtures.spread(fixtures.read_table(spark, sf_dir, "documents")).select(
+    require_utc(spark)
+    docs = fixtures.read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("id"),
         F.col("text"),
         F.timestamp_millis(F.col("doc_id") * 1000).alias("createdAt"),
@@ -77,117 +76,88 @@ def _counts_stream(stream: DataFrame) -> DataFrame:
 
 
 def decode_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per staged batch: records received and skipped, from streaming progress."""
-    metrics.report_skips(spark)
-    staged = StagedLog(spark, "decode-metrics")
+    """Per range of event ids: records received and skipped, summed over all micro-batches of its run."""
+    staged = StagedLog(spark, "decode-metrics", {"maxFilesPerTrigger": "1"})
+    totals = metrics.run_totals(spark)
+    rows = []
 
     def build(stream):
         return decode_messages(stream).writeStream.format("noop").option(
             "checkpointLocation", staged.path("ckpt")).queryName("decode_metrics_" + staged.root[-12:])
 
-    records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
-    staged.feed(fixtures.staged_batches(records, STAGES, materialize_to=staged.path("source")), build)
-    rows = []
-    for k, progs in enumerate(staged.progress):
-        got = [metrics.observed(p, DECODE_METRICS) for p in progs]
-        got = [g for g in got if g is not None]
-        rows.append((k, sum(g["received"] for g in got), sum(g["skipped"] for g in got)))
+    records = fixtures.log_records(spark, sf_dir, keep_event_id=True)
+    for k, b in enumerate(fixtures.staged_batches(records, METRIC_STAGES)):
+        staged.append(b)
+        got, _ = totals.of(staged.run(build).runId)
+        rows.append((k, got.get("received", 0), got.get("skipped", 0)))
     return spark.createDataFrame(rows, "batch int, received long, skipped long")
 
 
+def _in_order(spark: SparkSession, sf_dir: str, name: str) -> tuple[StagedLog, list[DataFrame]]:
+    """A log whose files follow event time: each stage is written once, straight from its
+    range of the events, as one file, and a micro-batch takes one file."""
+    staged = StagedLog(spark, name, {"maxFilesPerTrigger": "1"})
+    records = fixtures.log_records(spark, sf_dir, keep_event_id=True)
+    return staged, [b.coalesce(1) for b in fixtures.staged_batches(records, STAGES)]
+
+
 def window_counts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watermarked hourly counts through the append-mode Parquet sink."""
-    staged = StagedLog(spark, "append")
+    staged, batches = _in_order(spark, sf_dir, "append")
     path, ckpt = staged.path("out"), staged.path("ckpt")
-
-    def build(stream):
-        return sinks.append_parquet(_counts_stream(stream), path, ckpt, "append_" + staged.root[-12:])
-
-    records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
-    staged.feed(fixtures.staged_batches(records, STAGES, materialize_to=staged.path("source")), build)
+    for b in batches:
+        staged.append(b)
+    staged.run(lambda stream: sinks.append_parquet(_counts_stream(stream), path, ckpt, "append_" + staged.root[-12:]))
     return spark.read.parquet(path)
 
 
-def _upsert_run(spark: SparkSession, sf_dir: str, name: str, late: bool = False, crash_batch: bool = False):
-    staged = StagedLog(spark, name)
-    table = staged.path("table")
-    state = {"crashed": False, "armed": False}
-
-    def crash_once(batch, batch_id):
-        # Simulates a failure after the sink wrote but before the checkpoint
-        # committed: Spark replays the same batch on restart.
-        if crash_batch and state["armed"] and not state["crashed"]:
-            state["crashed"] = True
-            raise RuntimeError(f"simulated crash after writing batch {batch_id}")
-
-    sink = sinks.ChangelogUpsert(table, on_written=crash_once)
-
-    def build(stream):
-        return sink.writer(_counts_stream(stream), staged.path("ckpt"), f"{name}_{staged.root[-12:]}")
-
-    n = LATE_STAGES if late else STAGES
-    records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
-    batches = fixtures.staged_batches(records, n, LATE_MOD if late else None, materialize_to=staged.path("source"))
-    for k, b in enumerate(batches):
+def _upserted(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A change-log table with the counts of the whole log."""
+    staged, batches = _in_order(spark, sf_dir, name)
+    sink = sinks.ChangelogUpsert(staged.path("table"))
+    for b in batches:
         staged.append(b)
-        state["armed"] = crash_batch and k == n - 1
-        try:
-            staged.run(build)
-        except Exception:
-            if not state["crashed"]:
-                raise
-            staged.run(build)  # restart from the checkpoint: replays the batch
-            # forget the failed run so awaitAnyTermination() in this session
-            # does not return at once
-            spark.streams.resetTerminated()
-    return staged, table, state
+    staged.run(lambda stream: sink.writer(_counts_stream(stream), staged.path("ckpt"), f"{name}_{staged.root[-12:]}"))
+    return staged.path("table")
 
 
 def window_counts_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update-mode counts into the replay-safe change log; latest view."""
-    _, table, _ = _upsert_run(spark, sf_dir, "upsert")
-    return sinks.latest_view(spark, table, COUNTS_KEY)
-
-
-def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As window_counts_upsert, but the last batch crashes after writing and
-    is replayed from the checkpoint; the table must come out the same."""
-    _, table, state = _upsert_run(spark, sf_dir, "replay", crash_batch=True)
-    if not state["crashed"]:
-        raise RuntimeError("replay_idempotent: the simulated crash did not happen")
-    return sinks.latest_view(spark, table, COUNTS_KEY)
+    return sinks.latest_view(spark, _upserted(spark, sf_dir, "upsert"), COUNTS_KEY)
 
 
 def upsert_table_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The keyed result table as a reader sees it, ordered by window, text."""
-    _, table, _ = _upsert_run(spark, sf_dir, "table-read")
-    return sinks.latest_view(spark, table, COUNTS_KEY).orderBy("window_start", "text")
+    """The keyed result table as a reader sees it after a compaction, ordered by window, text."""
+    table = _upserted(spark, sf_dir, "table-read")
+    sinks.compact(spark, table, COUNTS_KEY, table + "-compacted")
+    return sinks.latest_view(spark, table + "-compacted", COUNTS_KEY).orderBy("window_start", "text")
 
 
 def late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts when some records arrive one staged batch late: a late record
     is dropped iff its window ended at or before the previous watermark."""
-    _, table, _ = _upsert_run(spark, sf_dir, "late", late=True)
-    return sinks.latest_view(spark, table, COUNTS_KEY)
+    staged = StagedLog(spark, "late")
+    sink = sinks.ChangelogUpsert(staged.path("table"))
+    records = fixtures.log_records(spark, sf_dir, keep_event_id=True)
+    staged.feed(fixtures.staged_batches(records, LATE_STAGES, LATE_MOD),
+                lambda stream: sink.writer(_counts_stream(stream), staged.path("ckpt"), "late_" + staged.root[-12:]))
+    return sinks.latest_view(spark, staged.path("table"), COUNTS_KEY)
 
 
 def resume_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append-mode counts from two runs of the same query: the second run
     resumes from the first run's checkpoint at the next offset."""
-    staged = StagedLog(spark, "resume")
+    staged, batches = _in_order(spark, sf_dir, "resume")
     path, ckpt = staged.path("out"), staged.path("ckpt")
 
     def build(stream):
         return sinks.append_parquet(_counts_stream(stream), path, ckpt, "resume_" + staged.root[-12:])
 
-    records = fixtures.log_records(spark, sf_dir, with_offsets=False, keep_event_id=True)
-    batches = fixtures.staged_batches(records, 4, materialize_to=staged.path("source"))
-    for half in (batches[:2], batches[2:]):
+    for half in (batches[:STAGES // 2], batches[STAGES // 2:]):
         for b in half:
             staged.append(b)
         staged.run(build)
-    first, second = staged.progress
-    if first and second and min(p.batchId for p in second) <= max(p.batchId for p in first):
+    if len(staged.batches) == 2 and staged.batches[1] <= staged.batches[0]:
         raise RuntimeError("resume_from_checkpoint: second run did not continue the batch ids")
     return spark.read.parquet(path)
 
@@ -197,103 +167,49 @@ def parquet_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_counts_append(spark, sf_dir).orderBy("window_start", "text").limit(100)
 
 
-def _retry_log(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
-    """The events log with texts that trigger the failure simulator:
-    error -> fail-always, view -> fail-transient, signup -> fail-invalid,
-    others keep their type; each text gets -<event_id> appended."""
-    et = F.col("event_type")
-    marker = (
-        F.when(et == "error", F.lit("fail-always"))
-        .when(et == "view", F.lit("fail-transient"))
-        .when(et == "signup", F.lit("fail-invalid"))
-        .otherwise(et)
-    )
-    text = F.concat(marker, F.lit("-"), F.col("event_id").cast("string"))
-    return fixtures.log_records(spark, sf_dir, text=text, keep_event_id=keep_event_id)
-
-
-def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.deadletter import route
-
-    return route(_retry_log(spark, sf_dir))
-
-
-def retry_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per log record: attempts, outcome, failure class and total back-off."""
-    return _routed(spark, sf_dir).select(
-        "partition", "offset", F.col("record.id").alias("id"), "attempts", "outcome",
-        F.col("failure.kind").alias("failure_class"), "total_wait_ms",
-    )
-
-
 def processed_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records processed successfully, with the delivery attempt that succeeded."""
-    from ..operators.deadletter import processed
-
-    return processed(_routed(spark, sf_dir))
-
-
-def backoff_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The back-off waits each retried record went through, one row per retry."""
-    r = _routed(spark, sf_dir).filter(F.size("waits") > 0)
-    return r.select(F.col("record.id").alias("id"), F.posexplode("waits").alias("pos", "wait_ms")).select(
-        "id", (F.col("pos") + 1).cast("int").alias("retry"), "wait_ms")
+    """Records that decode and meet all rules."""
+    return processed(route(fixtures.log_records(spark, sf_dir), RULES))
 
 
 def dead_letter_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead-letter rows with their headers decoded to typed columns."""
-    from ..operators.deadletter import dead_letter_fields, dead_letters
-
-    return dead_letter_fields(dead_letters(_routed(spark, sf_dir)))
+    routed = route(fixtures.log_records(spark, sf_dir), RULES)
+    return dead_letter_fields(dead_letters(routed), fixtures.HEADER)
 
 
 def dead_letter_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters published to a dead-letter log table, read back as raw
-    records with headers (no decode on read), and described one by one."""
-    from ..operators.deadletter import dead_letters, inspect
-    from ..session import new_run_dir
-    from ..sources.log import read_log, write_log
-
+    records with headers (no decode on read), and inspected one by one."""
     dlt_path = f"{new_run_dir(spark, 'dlt')}/log"
-    write_log(dead_letters(_routed(spark, sf_dir)), path=dlt_path)
+    write_log(dead_letters(route(fixtures.log_records(spark, sf_dir), RULES)), path=dlt_path)
     return inspect(read_log(spark, path=dlt_path, streaming=False))
 
 
 def dead_letter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The consumer side as a stream: staged batches of the retry log routed
-    micro-batch by micro-batch; the dead-letter table it wrote, decoded."""
-    from ..operators.deadletter import dead_letter_fields
-    from ..sources.log import read_log
-    from ..streaming.router import DeadLetterRouter
-
-    staged = StagedLog(spark, "router")
-    router = DeadLetterRouter(staged.path("processed"), staged.path("dlt"))
-
-    def build(stream):
-        return router.writer(stream, staged.path("ckpt"), "router_" + staged.root[-12:])
-
-    records = _retry_log(spark, sf_dir, keep_event_id=True)
-    staged.feed(fixtures.staged_batches(records, STAGES, materialize_to=staged.path("source")), build)
-    return dead_letter_fields(read_log(spark, path=staged.path("dlt"), streaming=False))
+    """The consumer side as a stream: the log routed micro-batch by
+    micro-batch; the dead letters of the table it wrote, decoded."""
+    staged, batches = _in_order(spark, sf_dir, "router")
+    table = staged.path("routed")
+    for b in batches:
+        staged.append(b)
+    staged.run(lambda stream: DeadLetterRouter(table, RULES).writer(stream, staged.path("ckpt"), "router_" + staged.root[-12:]))
+    return dead_letter_fields(router.dead_letters(spark, table), fixtures.HEADER)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_counts_batch": window_counts_batch,
     "decode_permissive": decode_permissive,
-    "decode_permissive_columns": decode_permissive_columns,
     "encode_roundtrip": encode_roundtrip,
     "encode_roundtrip_documents": encode_roundtrip_documents,
     "decode_metrics": decode_metrics,
     "window_counts_append": window_counts_append,
     "window_counts_upsert": window_counts_upsert,
-    "replay_idempotent": replay_idempotent,
     "upsert_table_read": upsert_table_read,
     "late_data": late_data,
     "resume_from_checkpoint": resume_from_checkpoint,
     "parquet_inspect": parquet_inspect,
-    "retry_outcome": retry_outcome,
     "processed_ok": processed_ok,
-    "backoff_schedule": backoff_schedule,
     "dead_letter_table": dead_letter_table,
     "dead_letter_inspect": dead_letter_inspect,
     "dead_letter_stream": dead_letter_stream,

@@ -9,7 +9,7 @@ POISON = "(event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0 OR event_
 TOPIC = "'messages'"
 
 MESSAGES = f"""
-  SELECT event_id,
+  SELECT event_id, user_id,
          CAST(event_id AS VARCHAR) AS id,
          event_type AS text,
          date_trunc('millisecond', ts) AS createdAt,
@@ -65,20 +65,15 @@ def _varint_hex(z: str) -> str:
     return " || ".join(parts)
 
 
-# Retry fixture: texts that trigger the failure simulator.
-_RETRY = f"""
+# The routed log: poison kind, the first broken rule, and the value's bytes as hex.
+_ROUTED = f"""
   SELECT *,
-         CASE WHEN text LIKE 'fail-invalid%' THEN 'invalid'
-              WHEN text LIKE 'fail-always%' THEN 'always'
-              WHEN text LIKE 'fail-transient%' THEN 'transient' ELSE 'plain' END AS kind,
+         CASE WHEN poison THEN NULL
+              WHEN text NOT IN ('click', 'purchase', 'signup', 'view') THEN 'unknown event type'
+              WHEN extract(hour FROM createdAt) < 12 THEN 'created before noon' END AS broken,
          CASE WHEN event_id % 97 = 0 THEN 'raw_text' WHEN event_id % 89 = 0 THEN 'null'
               WHEN event_id % 83 = 0 THEN 'header_only' WHEN event_id % 79 = 0 THEN 'truncated' END AS poison_kind
-  FROM (
-    SELECT event_id, id, partition, createdAt, poison,
-           CASE text WHEN 'error' THEN 'fail-always' WHEN 'view' THEN 'fail-transient'
-                           WHEN 'signup' THEN 'fail-invalid' ELSE text END || '-' || id AS text,
-           CAST(row_number() OVER (PARTITION BY partition ORDER BY event_id) - 1 AS BIGINT) AS "offset"
-    FROM ({MESSAGES}) m)
+  FROM ({MESSAGES}) m
 """
 
 _FRAME = "'0000000001'"
@@ -87,33 +82,23 @@ _FULL_HEX = (f"{_FRAME} || {_ID_FIELD} || {_varint_hex('2 * strlen(text)')} || h
              f"{_varint_hex('2 * epoch_ms(createdAt)')}")
 _DLT = f"""
   SELECT *,
-         CASE poison_kind WHEN 'raw_text' THEN hex('not avro ' || id) WHEN 'null' THEN NULL
+         CASE poison_kind WHEN 'raw_text' THEN hex('not avro ' || id) || 'FF' || repeat('2D', 70) WHEN 'null' THEN NULL
                           WHEN 'header_only' THEN {_FRAME}
                           WHEN 'truncated' THEN {_FRAME} || {_ID_FIELD}
                           ELSE {_FULL_HEX} END AS value_hex,
-         CASE WHEN poison THEN 'failed to deserialize'
-              WHEN kind = 'always' THEN 'Listener method ''listen'' threw exception; Simulated permanent outage for "' || text || '" (attempt 5)'
-              ELSE 'Listener method ''listen'' threw exception; Simulated validation failure for "' || text || '"' END
-           AS exception_message
-  FROM ({_RETRY}) r
-  WHERE poison OR kind IN ('always', 'invalid')
+         coalesce(broken, 'value is not a framed message') AS failure
+  FROM ({_ROUTED}) r
+  WHERE poison OR broken IS NOT NULL
 """
-
-_INSTANT = ("strftime(createdAt, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_ms(createdAt) % 1000 <> 0 "
-            "THEN '.' || lpad(CAST(epoch_ms(createdAt) % 1000 AS VARCHAR), 3, '0') ELSE '' END || 'Z'")
 _CTRL = "chr(0) || chr(0) || chr(0) || chr(0) || chr(1)"
 
 SQL: dict[str, str] = {
     "window_counts_batch": _hour_counts(),
     "decode_permissive": f"""
-  SELECT id, text, createdAt, {TOPIC} AS topic, partition,
-         CAST(rn - 1 AS BIGINT) AS "offset",
-         createdAt AS "timestamp"
-  FROM (SELECT *, row_number() OVER (PARTITION BY partition ORDER BY event_id) AS rn FROM ({MESSAGES}) m0) m
-  WHERE NOT poison
+  SELECT id, text, createdAt, {TOPIC} AS topic, partition, event_id AS "offset", createdAt AS "timestamp"
+  FROM ({MESSAGES}) m WHERE NOT poison
 """,
     "encode_roundtrip": f"SELECT id, text, createdAt FROM ({MESSAGES}) m",
-    "decode_permissive_columns": None,
     "encode_roundtrip_documents": """
   SELECT CAST(doc_id AS VARCHAR) AS id,
          CAST(length(text) AS INTEGER) AS n_chars,
@@ -129,7 +114,6 @@ SQL: dict[str, str] = {
 """,
     "window_counts_append": _APPEND,
     "window_counts_upsert": _hour_counts(),
-    "replay_idempotent": _hour_counts(),
     "upsert_table_read": _hour_counts() + " ORDER BY window_start, text",
     "late_data": _LATE + """
   SELECT date_trunc('hour', createdAt) AS window_start, we AS window_end, text,
@@ -138,57 +122,33 @@ SQL: dict[str, str] = {
 """,
     "resume_from_checkpoint": _APPEND,
     "parquet_inspect": f"SELECT * FROM ({_APPEND}) a ORDER BY window_start, text LIMIT 100",
-    "retry_outcome": f"""
-  SELECT partition, "offset", CASE WHEN poison THEN NULL ELSE id END AS id,
-         CASE WHEN poison THEN 0 WHEN kind = 'always' THEN 5 WHEN kind = 'transient' THEN 3 ELSE 1 END AS attempts,
-         CASE WHEN poison OR kind IN ('always', 'invalid') THEN 'dead_letter' ELSE 'processed' END AS outcome,
-         CASE WHEN poison THEN 'deserialization' WHEN kind = 'always' THEN 'retryable'
-              WHEN kind = 'invalid' THEN 'not_retryable' END AS failure_class,
-         CAST(CASE WHEN poison THEN 0 WHEN kind = 'always' THEN 1000 + 2000 + 4000 + 4000
-                   WHEN kind = 'transient' THEN 1000 + 2000 ELSE 0 END AS BIGINT) AS total_wait_ms
-  FROM ({_RETRY}) r
-""",
     "processed_ok": f"""
-  SELECT id, text, createdAt, partition, "offset",
-         CASE WHEN kind = 'transient' THEN 3 ELSE 1 END AS delivery_attempt
-  FROM ({_RETRY}) r WHERE NOT poison AND kind IN ('plain', 'transient')
-""",
-    "backoff_schedule": f"""
-  SELECT id, CAST(w.retry AS INTEGER) AS retry, CAST(w.wait_ms AS BIGINT) AS wait_ms
-  FROM ({_RETRY}) r
-  JOIN (VALUES (1, 1000), (2, 2000), (3, 4000), (4, 4000)) AS w(retry, wait_ms)
-    ON w.retry <= CASE WHEN r.kind = 'always' THEN 4 WHEN r.kind = 'transient' THEN 2 ELSE 0 END
-  WHERE NOT poison
+  SELECT id, text, createdAt, partition, event_id AS "offset" FROM ({_ROUTED}) r WHERE NOT poison AND broken IS NULL
 """,
     "dead_letter_table": f"""
-  SELECT 'messages-dlt' AS dlt_topic, partition AS dlt_partition, 'messages' AS original_topic,
-         partition AS original_partition, "offset" AS original_offset, createdAt AS original_timestamp,
-         'message-consumers' AS consumer_group,
-         CASE WHEN poison THEN 'logweave.errors.DeserializationException'
-              ELSE 'logweave.errors.ListenerExecutionFailedException' END AS exception_fqcn,
-         CASE WHEN poison THEN NULL WHEN kind = 'always' THEN 'logweave.errors.RetryableProcessingException'
-              ELSE 'logweave.errors.InvalidMessageException' END AS cause_fqcn,
-         exception_message, value_hex
+  SELECT 'messages-dlt' AS dlt_topic, partition AS dlt_partition, CAST(user_id AS VARCHAR) AS key, id AS own_header,
+         'messages' AS original_topic, partition AS original_partition, event_id AS original_offset,
+         'message-consumers' AS consumer_group, createdAt AS original_timestamp,
+         CASE WHEN poison THEN 'logweave.errors.UndecodableRecord' ELSE 'logweave.errors.InvalidRecord' END AS exception_fqcn,
+         CASE WHEN NOT poison THEN 'logweave.errors.BrokenRule' END AS cause_fqcn,
+         failure AS exception_message, value_hex
   FROM ({_DLT}) d
 """,
     "dead_letter_inspect": f"""
-  SELECT 'messages-dlt' AS dlt_topic, partition AS dlt_partition, 'messages' AS original_topic,
-         partition AS original_partition, "offset" AS original_offset, 'message-consumers' AS consumer_group,
-         CASE WHEN poison THEN 'logweave.errors.DeserializationException'
-              WHEN kind = 'always' THEN 'logweave.errors.RetryableProcessingException'
-              ELSE 'logweave.errors.InvalidMessageException' END AS root_exception,
-         regexp_replace(exception_message, '^Listener method ''listen'' threw exception; ', '') AS message,
-         CASE WHEN poison_kind = 'null' THEN 'null'
-              WHEN poison_kind IS NULL THEN
-                'Avro {{"id": "' || id || '", "text": "' || text || '", "createdAt": "' || {_INSTANT} || '"}}'
-              ELSE CAST(strlen(value_hex) // 2 AS VARCHAR) || ' raw bytes, not decodable as Avro: hex '
-                   || lower(value_hex) || ' / text "'
-                   || CASE poison_kind WHEN 'raw_text' THEN 'not avro ' || id
-                                       WHEN 'header_only' THEN {_CTRL}
-                                       ELSE {_CTRL} || chr(CAST(2 * strlen(id) AS INTEGER)) || id END
-                   || '"' END AS description
+  SELECT 'messages-dlt' AS dlt_topic, partition AS dlt_partition, event_id AS dlt_offset, 'messages' AS original_topic,
+         partition AS original_partition, event_id AS original_offset, 'message-consumers' AS consumer_group,
+         CASE WHEN poison THEN 'logweave.errors.UndecodableRecord' ELSE 'logweave.errors.BrokenRule' END AS root_exception,
+         failure AS message,
+         CASE WHEN poison_kind IS NULL THEN 'message' WHEN poison_kind = 'null' THEN 'null' ELSE 'raw' END AS value_kind,
+         CAST(strlen(value_hex) // 2 AS INTEGER) AS value_bytes,
+         lower(left(value_hex, 128)) AS preview_hex,
+         CASE poison_kind WHEN 'raw_text' THEN 'not avro ' || id || chr(65533) || repeat('-', 54 - strlen(id)::INTEGER)
+                          WHEN 'header_only' THEN {_CTRL}
+                          WHEN 'truncated' THEN {_CTRL} || chr(CAST(2 * strlen(id) AS INTEGER)) || id END AS preview_text,
+         CASE WHEN NOT poison THEN id END AS message_id,
+         CASE WHEN NOT poison THEN text END AS message_text,
+         CASE WHEN NOT poison THEN createdAt END AS message_created_at
   FROM ({_DLT}) d
 """,
 }
-SQL["decode_permissive_columns"] = SQL["decode_permissive"]
 SQL["dead_letter_stream"] = SQL["dead_letter_table"]

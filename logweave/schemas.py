@@ -19,13 +19,6 @@ LOG_SCHEMA = T.StructType([
     T.StructField("headers", T.ArrayType(HEADER_TYPE, True), True),
 ])
 
-# The one user record: {id: string, text: string, createdAt: timestamp-millis}.
-MESSAGE_SCHEMA = T.StructType([
-    T.StructField("id", T.StringType(), False),
-    T.StructField("text", T.StringType(), False),
-    T.StructField("createdAt", T.TimestampType(), False),
-])
-
 # Avro schema text of the message record, as a registry would hold it.
 MESSAGE_AVRO_SCHEMA = (
     '{"type":"record","name":"Message","fields":['
@@ -34,28 +27,8 @@ MESSAGE_AVRO_SCHEMA = (
     '{"name":"createdAt","type":{"type":"long","logicalType":"timestamp-millis"}}]}'
 )
 
-DECODED_COLUMNS = ["id", "text", "createdAt", "topic", "partition", "offset", "timestamp"]
-
-COUNTS_SCHEMA = T.StructType([
-    T.StructField("window_start", T.TimestampType(), False),
-    T.StructField("window_end", T.TimestampType(), False),
-    T.StructField("text", T.StringType(), False),
-    T.StructField("count", T.LongType(), False),
-])
 COUNTS_KEY = ["window_start", "window_end", "text"]
 
-METRICS_SCHEMA = T.StructType([
-    T.StructField("received", T.LongType(), False),
-    T.StructField("skipped", T.LongType(), False),
-])
-
-CATALOG_SCHEMA = T.StructType([
-    T.StructField("subject", T.StringType(), False),
-    T.StructField("version", T.IntegerType(), False),
-    T.StructField("id", T.IntegerType(), False),
-    T.StructField("schema", T.StringType(), False),
-])
-
 # Dead-letter header names (must equal what consumers of a
 # dead-letter topic expect).
 DLT_ORIGINAL_TOPIC = "kafka_dlt-original-topic"
@@ -66,4 +39,3 @@ DLT_ORIGINAL_GROUP = "kafka_dlt-original-consumer-group"
 DLT_EXCEPTION_FQCN = "kafka_dlt-exception-fqcn"
 DLT_EXCEPTION_CAUSE_FQCN = "kafka_dlt-exception-cause-fqcn"
 DLT_EXCEPTION_MESSAGE = "kafka_dlt-exception-message"
-DLT_EXCEPTION_STACKTRACE = "kafka_dlt-exception-stacktrace"

@@ -14,24 +14,36 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def pin_utc(spark: SparkSession) -> None:
-    """Results are defined in UTC; window boundaries depend on the zone."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+#: Names of zones that are UTC all year.
+UTC_NAMES = {"UTC", "GMT", "Z", "UCT", "Zulu", "Universal", "Greenwich", "Etc/UTC", "Etc/GMT", "Etc/UCT", "Etc/Zulu", "Etc/Universal", "+00:00", "GMT+0", "GMT0"}
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Results are defined in UTC; window boundaries depend on the zone. The session is the caller's, so it isn't changed."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; set it to UTC")
 
 
 def scratch_root(spark: SparkSession) -> str:
+    """The session's shared checkpoint folder; a temporary one only for a local master."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
-        # Local runs only: no shared folder configured.
+        if not is_local(sc.master):
+            raise ValueError(f"master {sc.master}: set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="logweave-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """One process: executors share the driver's own folders (not so with local-cluster)."""
+    return master == "local" or master.startswith("local[")
+
+
 def new_run_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder for one run (no cleanup by deletion)."""
     return f"{scratch_root(spark)}/logweave/{name}-{uuid.uuid4().hex[:12]}"

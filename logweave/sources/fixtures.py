@@ -1,9 +1,10 @@
 """The events table seen as a message log.
 
-Mapping (fixed by the test fixtures): id = event_id as text, text =
-event_type, createdAt = ts cut to milliseconds (UTC), partition =
-user_id % 4, offset = rank of event_id within the partition, timestamp =
-createdAt.  Some records are poison: the first matching rule below wins.
+Mapping: id = event_id as text, text = event_type, createdAt = ts cut to
+milliseconds (UTC), key = user_id as text, partition = user_id % 4, offset =
+event_id (unique and rising within a partition; a log's offsets may have gaps),
+timestamp = createdAt, one header of the event's own.  Some records are poison:
+the first matching rule below wins.
 """
 
 from __future__ import annotations
@@ -13,12 +14,12 @@ from pyspark.sql import functions as F
 
 from ..functions.codec import encode_frames, frame_header
 from ..schemas import LOG_SCHEMA
-from ..session import pin_utc
-from .offsets import with_partition_offsets
+from ..session import require_utc
 
 TOPIC = "messages"
 PARTITIONS = 4
 SCHEMA_ID = 1
+HEADER = "event"
 
 # Poison rules, first match wins (event_id modulus, kind).
 POISON_RULES = [
@@ -28,21 +29,14 @@ POISON_RULES = [
     (79, "truncated"),
 ]
 RAW_TEXT_PREFIX = "not avro "
+#: What follows the id in a raw value: a byte that isn't UTF-8, and more bytes than a preview shows.
+RAW_TAIL = b"\xff" + b"-" * 70
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Small inputs arrive as one split; give the per-row codec work all
-    cores.  A no-op at scale, where the scan already has enough splits."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def poison_kind(event_id: Column) -> Column:
     expr = None
     for mod, kind in reversed(POISON_RULES):
@@ -59,14 +53,14 @@ def is_poison(event_id: Column) -> Column:
     return out
 
 
-def messages(spark: SparkSession, sf_dir: str, text: Column | None = None) -> DataFrame:
-    """event_id, id, text, createdAt, partition from the events table."""
-    pin_utc(spark)
-    ev = spread(read_table(spark, sf_dir, "events"))
-    return ev.select(
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_id, user_id, id, text, createdAt, partition from the events table."""
+    require_utc(spark)
+    return read_table(spark, sf_dir, "events").select(
         "event_id",
+        "user_id",
         F.col("event_id").cast("string").alias("id"),
-        (F.col("event_type") if text is None else text).alias("text"),
+        F.col("event_type").alias("text"),
         F.date_trunc("millisecond", F.col("ts").cast("timestamp")).alias("createdAt"),
         (F.col("user_id") % PARTITIONS).cast("int").alias("partition"),
     )
@@ -77,7 +71,7 @@ def with_values(msgs: DataFrame, schema_id: int = SCHEMA_ID) -> DataFrame:
     enc = encode_frames(msgs, out="__lw_full", schema_id=schema_id)
     full = F.col("__lw_full")
     kind = poison_kind(F.col("event_id"))
-    raw = F.concat(F.lit(RAW_TEXT_PREFIX), F.col("event_id").cast("string")).cast("binary")
+    raw = F.concat(F.concat(F.lit(RAW_TEXT_PREFIX), F.col("event_id").cast("string")).cast("binary"), F.lit(RAW_TAIL))
     value = (
         F.when(kind.isNull(), full)
         .when(kind == "raw_text", raw)
@@ -87,56 +81,49 @@ def with_values(msgs: DataFrame, schema_id: int = SCHEMA_ID) -> DataFrame:
     return enc.select(*msgs.columns, value.alias("value"))
 
 
-def log_records(
-    spark: SparkSession,
-    sf_dir: str,
-    text: Column | None = None,
-    with_offsets: bool = True,
-    keep_event_id: bool = False,
-    topic: str = TOPIC,
-    schema_id: int = SCHEMA_ID,
-) -> DataFrame:
-    """Kafka-shaped records (LOG_SCHEMA) for every event, poison included."""
-    msgs = messages(spark, sf_dir, text)
-    if with_offsets:
-        msgs = with_partition_offsets(msgs, "partition", "event_id", max_partitions=PARTITIONS)
-    else:
-        msgs = msgs.withColumn("offset", F.lit(None).cast("long"))
-    msgs = with_values(msgs, schema_id)
+def log_records(spark: SparkSession, sf_dir: str, keep_event_id: bool = False,
+                topic: str = TOPIC, schema_id: int = SCHEMA_ID) -> DataFrame:
+    """Kafka-shaped records (LOG_SCHEMA) for every event, poison included: a map over the rows."""
+    msgs = with_values(messages(spark, sf_dir), schema_id)
+    header = F.struct(F.lit(HEADER).alias("key"), F.col("id").cast("binary").alias("value"))
     cols = [
-        F.lit(None).cast("binary").alias("key"),
+        F.col("user_id").cast("string").cast("binary").alias("key"),
         F.col("value"),
         F.lit(topic).alias("topic"),
         F.col("partition"),
-        F.col("offset"),
+        F.col("event_id").alias("offset"),
         F.col("createdAt").alias("timestamp"),
         F.lit(0).alias("timestampType"),
-        F.lit(None).cast(LOG_SCHEMA["headers"].dataType).alias("headers"),
+        F.array(header).cast(LOG_SCHEMA["headers"].dataType).alias("headers"),
     ]
     if keep_event_id:
         cols.append(F.col("event_id"))
     return msgs.select(*cols)
 
 
-def staged_batches(records: DataFrame, n_batches: int, late_mod: int | None = None,
-                   materialize_to: str | None = None) -> list[DataFrame]:
+def staged_batches(records: DataFrame, n_batches: int, late_mod: int | None = None) -> list[DataFrame]:
     """Split records (with ``event_id``) into ``n_batches`` ordered batches by
     equal ranges of event_id: batch = floor((event_id - lo) * n / (hi - lo + 1)).
     With ``late_mod``, records with event_id % late_mod = 0 arrive one batch
-    later than their range (the last batch keeps its own).  With
-    ``materialize_to`` the records are encoded and written once, partitioned
-    by batch, and each batch is read back from there (partition pruning)."""
+    later than their range (the last batch keeps its own).  A batch is a filter
+    on event_id that reaches the scan."""
     lo, hi = records.agg(F.min("event_id"), F.max("event_id")).first()
     if lo is None:  # no records: every batch is empty
         return [records.drop("event_id") for _ in range(n_batches)]
-    span = int(hi) - int(lo) + 1
-    batch = F.floor((F.col("event_id") - F.lit(int(lo))) * F.lit(n_batches) / F.lit(span)).cast("int")
-    if late_mod:
-        late = ((F.col("event_id") % late_mod) == 0) & (batch < n_batches - 1)
-        batch = batch + F.when(late, 1).otherwise(0)
-    tagged = records.withColumn("__lw_batch", batch)
-    if materialize_to is not None:
-        tagged.drop("event_id").write.partitionBy("__lw_batch").parquet(materialize_to)
-        tagged = records.sparkSession.read.parquet(materialize_to)
-        return [tagged.filter(F.col("__lw_batch") == k).drop("__lw_batch") for k in range(n_batches)]
-    return [tagged.filter(F.col("__lw_batch") == k).drop("__lw_batch", "event_id") for k in range(n_batches)]
+    lo, span, e = int(lo), int(hi) - int(lo) + 1, F.col("event_id")
+    edges = [lo - (-k * span // n_batches) for k in range(n_batches + 1)]  # the first id of each batch
+
+    def between(k: int) -> Column:
+        return (e >= edges[k]) & (e < edges[k + 1])
+
+    out = []
+    for k in range(n_batches):
+        part = between(k)
+        if late_mod:
+            late = (e % late_mod) == 0
+            part = (part & ~late) if k < n_batches - 1 else part
+            if k:
+                part = part | (between(k - 1) & late)
+            part = part & (e >= edges[max(0, k - 1)]) & (e < edges[k + 1])
+        out.append(records.filter(part).drop("event_id"))
+    return out

@@ -13,51 +13,46 @@ def kafka_options(config: dict[str, str]) -> dict[str, str]:
     return {k: v for k, v in config.items() if k.startswith("kafka.")}
 
 
-# Producer client settings that may be taken over from shared
-# ``kafka.*`` connection settings (besides any ssl./sasl./security. key).
-PRODUCER_CONFIG_NAMES = {
-    "bootstrap.servers", "client.id", "client.dns.lookup", "acks", "enable.idempotence",
-    "retries", "retry.backoff.ms", "retry.backoff.max.ms", "delivery.timeout.ms",
-    "request.timeout.ms", "linger.ms", "batch.size", "buffer.memory", "compression.type",
-    "max.in.flight.requests.per.connection", "max.request.size", "max.block.ms",
-    "transactional.id", "transaction.timeout.ms", "partitioner.class", "interceptor.classes",
-    "metadata.max.age.ms", "connections.max.idle.ms", "reconnect.backoff.ms",
-    "reconnect.backoff.max.ms", "send.buffer.bytes", "receive.buffer.bytes",
-    "socket.connection.setup.timeout.ms", "socket.connection.setup.timeout.max.ms",
+# Client settings that only consumers have.  Every other kafka.*
+# setting goes to the producer too, so a setting that is new to the client
+# isn't lost.
+CONSUMER_ONLY = {
+    "allow.auto.create.topics", "auto.commit.interval.ms", "auto.offset.reset", "check.crcs",
+    "client.rack", "default.api.timeout.ms", "enable.auto.commit", "exclude.internal.topics",
+    "fetch.max.bytes", "fetch.max.wait.ms", "fetch.min.bytes", "group.id", "group.instance.id",
+    "group.protocol", "group.remote.assignor", "heartbeat.interval.ms", "isolation.level",
+    "key.deserializer", "max.partition.fetch.bytes", "max.poll.interval.ms", "max.poll.records",
+    "partition.assignment.strategy", "session.timeout.ms", "value.deserializer",
 }
-SHARED_PREFIXES = ("ssl.", "sasl.", "security.")
 
 
 def producer_options(config: dict[str, str]) -> dict[str, str]:
-    """Options for Spark's Kafka sink: producer-known ``kafka.*`` settings,
-    then ``producer.*`` settings on top (re-prefixed with ``kafka.``)."""
-    out: dict[str, str] = {}
-    for k, v in config.items():
-        if k.startswith("kafka."):
-            name = k[len("kafka."):]
-            if name in PRODUCER_CONFIG_NAMES or name.startswith(SHARED_PREFIXES):
-                out["kafka." + name] = v
-    for k, v in config.items():
-        if k.startswith("producer."):
-            out["kafka." + k[len("producer."):]] = v
-    return out
-
-
-# Spark Kafka source settings taken from the config when present (bounding
-# micro-batch size matters at scale: the router keeps one batch for two writes).
+    """Options for Spark's Kafka sink: ``kafka.*`` settings that aren't
+    consumer-only, then ``producer.*`` settings on top (as ``kafka.*``)."""
+    out = {k: v for k, v in config.items() if k.startswith("kafka.") and k[len("kafka."):] not in CONSUMER_ONLY}
+    return out | {"kafka." + k[len("producer."):]: v for k, v in config.items() if k.startswith("producer.")}
+
+
+# Spark Kafka source settings taken from the config when present.
 SOURCE_OPTIONS = ("startingOffsets", "maxOffsetsPerTrigger", "minOffsetsPerTrigger", "minPartitions",
                   "failOnDataLoss", "groupIdPrefix")
 
+# What one micro-batch of a Parquet log table takes at most: files, unless the
+# config bounds files or bytes itself.
+ADMISSION = ("maxFilesPerTrigger", "maxBytesPerTrigger")
+MAX_FILES_PER_TRIGGER = "1000"
+
 
 def read_log(
     spark: SparkSession,
     config: dict[str, str] | None = None,
     path: str | None = None,
     streaming: bool = True,
-    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Kafka-shaped records: from Kafka when ``config`` names brokers and a
-    topic, else from the Parquet log table at ``path``."""
+    topic, else from the Parquet log table at ``path``.  Every micro-batch of
+    a stream is bounded: ``maxOffsetsPerTrigger`` for Kafka (as configured),
+    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` for a log table."""
     config = config or {}
     if "bootstrap.servers" in config or "kafka.bootstrap.servers" in config:
         opts = {
@@ -74,10 +69,8 @@ def read_log(
         raise ValueError("read_log needs Kafka settings or a log table path")
     if not streaming:
         return spark.read.schema(LOG_SCHEMA).parquet(path)
-    reader = spark.readStream.schema(LOG_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(path)
+    bounds = {k: str(config[k]) for k in ADMISSION if k in config} or {"maxFilesPerTrigger": MAX_FILES_PER_TRIGGER}
+    return spark.readStream.schema(LOG_SCHEMA).options(**bounds).parquet(path)
 
 
 def write_log(

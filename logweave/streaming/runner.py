@@ -1,13 +1,13 @@
 """Staged runs: a Parquet log table filled batch by batch and consumed by a
 streaming query with ``availableNow`` triggers.
 
-Each ``feed`` appends one batch of log records (new files), then starts the
-query from its checkpoint, processes everything new and stops: a restart
-that resumes at the next offset every time.  After the data batch Spark
-runs a no-data batch when the watermark moved, so the watermark that decides
-lateness in staged batch k is (max event time of batches 0..k-1) - delay.
-All folders live under the session's checkpoint folder, one fresh folder per
-run.
+``append`` adds one batch of log records (new files); ``run`` starts the query
+from its checkpoint, processes everything new and stops: a restart resumes at
+the next offset.  A run's micro-batches take a bounded number of files.  After
+the last data batch Spark runs a no-data batch when the watermark moved, so with
+one run for each staged batch, the watermark that decides lateness in batch k is
+(max event time of batches 0..k-1) - delay.  All folders live under the
+session's checkpoint folder, one fresh folder per run.
 """
 
 from __future__ import annotations
@@ -23,12 +23,14 @@ from ..sources.log import read_log
 
 
 class StagedLog:
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, admission: dict[str, str] | None = None):
+        """``admission``: maxFilesPerTrigger or maxBytesPerTrigger of the log table's source."""
         self.spark = spark
         self.name = name
+        self.admission = admission or {}
         self.root = new_run_dir(spark, name)
         self.log_path = f"{self.root}/log"
-        self.progress: list[list] = []
+        self.batches: list[int] = []
 
     def path(self, sub: str) -> str:
         return f"{self.root}/{sub}"
@@ -37,38 +39,19 @@ class StagedLog:
         records.select(*LOG_SCHEMA.names).write.mode("append").parquet(self.log_path)
 
     def stream(self) -> DataFrame:
-        return read_log(self.spark, path=self.log_path, streaming=True)
-
-    def run(self, build: Callable[[DataFrame], DataStreamWriter], state_partitions: int | None = None) -> StreamingQuery:
-        """Start the query over everything staged so far and wait for it.
-
-        The number of state partitions is fixed in the checkpoint by the first
-        start; it is set from ``state_partitions`` (default: the smaller of
-        the session's shuffle partitions and the cluster's cores) only for
-        the ``start`` call, which clones the session, then restored."""
-        conf = self.spark.conf
-        key = "spark.sql.shuffle.partitions"
-        n = state_partitions or min(int(conf.get(key)), self.spark.sparkContext.defaultParallelism)
-        # The staged late-data rule relies on Spark's no-data batches.
-        pinned = {key: str(n), "spark.sql.streaming.noDataMicroBatches.enabled": "true"}
-        old = {k: conf.get(k, None) for k in pinned}
-        for k, v in pinned.items():
-            conf.set(k, v)
-        try:
-            q = build(self.stream()).trigger(availableNow=True).start()
-        finally:
-            for k, v in old.items():
-                if v is None:
-                    conf.unset(k)
-                else:
-                    conf.set(k, v)
-        try:
-            q.awaitTermination()
-        finally:
-            self.progress.append(list(q.recentProgress))
+        return read_log(self.spark, self.admission, path=self.log_path, streaming=True)
+
+    def run(self, build: Callable[[DataFrame], DataStreamWriter]) -> StreamingQuery:
+        """Start the query over everything staged so far and wait for it."""
+        q = build(self.stream()).trigger(availableNow=True).start()
+        q.awaitTermination()
+        last = q.lastProgress
+        if last is not None:
+            self.batches.append(last.batchId)  # the last batch id of each run
         return q
 
     def feed(self, batches: list[DataFrame], build: Callable[[DataFrame], DataStreamWriter]) -> None:
+        """Append and run batch by batch."""
         for b in batches:
             self.append(b)
             self.run(build)

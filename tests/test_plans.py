@@ -19,18 +19,17 @@ def test_window_counts_prunes_and_preaggregates(spark):
     assert plan.index("Filter") < plan.index("CollectMetrics")
 
 
-def test_offsets_use_bounded_broadcast_and_one_shuffle_for_rank(spark):
-    plan = _plan(C.decode_permissive(spark, SF_ORACLE))
-    assert "BroadcastHashJoin" in plan  # bucket starts: small, bounded table
-    window_lines = [line for line in plan.splitlines() if "row_number()" in line]
-    assert window_lines, plan
-    assert "hashpartitioning(partition" in plan and "__lw_bucket" in plan
+def test_decode_and_routing_have_no_shuffle(spark):
+    for df in (C.decode_permissive(spark, SF_ORACLE), C.encode_roundtrip(spark, SF_ORACLE),
+               C.processed_ok(spark, SF_ORACLE), C.dead_letter_table(spark, SF_ORACLE)):
+        assert "Exchange" not in _plan(df)
 
 
-def test_retry_fold_and_dead_letters_have_no_shuffle(spark):
-    from logweave.operators.deadletter import dead_letters, route
+def test_staged_ranges_reach_the_scan(spark):
     from logweave.sources import fixtures
 
-    routed = route(fixtures.log_records(spark, SF_ORACLE, with_offsets=False))
-    for df in (routed.select("attempts", "outcome"), dead_letters(routed)):
-        assert "hashpartitioning" not in _plan(df)
+    records = fixtures.log_records(spark, SF_ORACLE, keep_event_id=True)
+    for late in (None, 13):
+        plan = _plan(fixtures.staged_batches(records, 4, late)[2])
+        scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+        assert "GreaterThanOrEqual(event_id" in scan and "LessThan(event_id" in scan

@@ -1,14 +1,11 @@
-"""Options, back-off, byte helpers, catalog, exact offsets."""
+"""Options, byte helpers, catalog, staging, command line, session."""
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from logweave.functions import bytes as B
-from logweave.operators.retry import RetryPolicy, backoff_waits
 from logweave.sources.catalog import latest_schema, latest_schemas, value_subject
 from logweave.sources.log import kafka_options, producer_options
-from logweave.sources.offsets import with_partition_offsets
 
 
 def test_option_pass_through():
@@ -23,13 +20,72 @@ def test_option_pass_through():
                                      "kafka.acks": "all", "kafka.enable.idempotence": "true"}
 
 
-def test_backoff(spark):
-    assert RetryPolicy().waits() == [1000, 2000, 4000, 4000]
-    assert sum(RetryPolicy().waits()) == 11000
-    assert RetryPolicy(max_retries=0).waits() == []
-    r = spark.range(1).select(backoff_waits(1000, 2.0, 4000, 4).alias("w"),
-                              backoff_waits(1000, 2.0, 4000, 0).alias("none")).first()
-    assert r["w"] == [1000, 2000, 4000, 4000] and r["none"] == []
+def test_producer_settings_are_not_lost():
+    cfg = {"kafka.partitioner.ignore.keys": "true", "kafka.metric.reporters": "m", "kafka.some.future.setting": "1",
+           "kafka.group.id": "g", "kafka.auto.offset.reset": "earliest", "producer.metric.reporters": "p"}
+    assert producer_options(cfg) == {"kafka.partitioner.ignore.keys": "true", "kafka.some.future.setting": "1",
+                                     "kafka.metric.reporters": "p"}
+
+
+def test_log_table_streams_are_bounded(spark, tmp_path):
+    from logweave.schemas import LOG_SCHEMA
+    from logweave.sources.log import read_log
+
+    spark.createDataFrame([], LOG_SCHEMA).write.parquet(str(tmp_path / "log"))
+
+    def options(config):
+        plan = read_log(spark, config, path=str(tmp_path / "log"))._jdf.queryExecution().logical()
+        return plan.dataSource().options().apply("maxFilesPerTrigger") if "maxFilesPerTrigger" in plan.dataSource().options().toString() else None
+
+    assert options({}) == "1000"
+    assert options({"maxFilesPerTrigger": "7"}) == "7"
+    assert options({"maxBytesPerTrigger": "1g"}) is None
+
+
+def test_shared_folder_is_required_off_local(monkeypatch):
+    from logweave import session
+
+    assert session.is_local("local") and session.is_local("local[8]")
+    assert not session.is_local("local-cluster[2,1,1024]") and not session.is_local("yarn")
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_root(Session())
+
+
+def test_zone_is_checked_not_changed(spark):
+    from logweave.session import require_utc
+
+    require_utc(spark)
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    with pytest.raises(ValueError, match="UTC"):
+        require_utc(other)
+    assert other.conf.get("spark.sql.session.timeZone") == "Europe/Berlin"
+
+
+def test_registered_schema_and_id(spark, tmp_path):
+    from logweave.plans.apps import registered_schema
+    from logweave.schemas import MESSAGE_AVRO_SCHEMA
+
+    path = str(tmp_path / "catalog")
+    spark.createDataFrame([("t-value", 1, 10, "old"), ("t-value", 2, 12, MESSAGE_AVRO_SCHEMA)],
+                          "subject string, version int, id int, schema string").write.parquet(path)
+    assert registered_schema(spark, {"topic": "t", "schema.catalog.path": path}) == (12, MESSAGE_AVRO_SCHEMA)
+    assert registered_schema(spark, {"topic": "t", "schema.id": "5"}) == (5, MESSAGE_AVRO_SCHEMA)
+    with pytest.raises(LookupError):
+        registered_schema(spark, {"topic": "u", "schema.catalog.path": path})
 
 
 def test_big_endian_and_headers(spark):
@@ -57,18 +113,6 @@ def test_latest_schema(spark):
         latest_schema(cat, "missing-value")
 
 
-def test_offsets_match_row_number(spark, monkeypatch):
-    import logweave.sources.offsets as O
-
-    monkeypatch.setattr(O, "TARGET_BUCKETS", 7)
-    df = spark.range(0, 5000, 3).select(F.col("id").alias("k"), (F.col("id") % 5).cast("int").alias("p"))
-    got = with_partition_offsets(df, "p", "k", max_partitions=5)
-    want = df.withColumn("offset", F.row_number().over(Window.partitionBy("p").orderBy("k")) - 1)
-    a = sorted(map(tuple, got.select("p", "k", "offset").collect()))
-    b = sorted(map(tuple, want.select("p", "k", "offset").collect()))
-    assert a == b
-
-
 def test_produce_and_write_log(spark, tmp_path):
     import datetime as dt
 
@@ -103,23 +147,6 @@ def test_apps_refuse_shared_checkpoints():
         check_checkpoints({"checkpoint.location": "/c/a"})
 
 
-def test_offsets_without_broadcast(spark, monkeypatch):
-    import logweave.sources.offsets as O
-
-    monkeypatch.setattr(O, "TARGET_BUCKETS", 3)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = spark.range(0, 3000, 7).select(F.col("id").alias("k"), (F.col("id") % 2).cast("int").alias("p"))
-        got = with_partition_offsets(df, "p", "k")  # no partition bound given: no broadcast hint
-        assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
-        want = df.withColumn("offset", F.row_number().over(Window.partitionBy("p").orderBy("k")) - 1)
-        assert sorted(map(tuple, got.select("p", "k", "offset").collect())) == \
-            sorted(map(tuple, want.select("p", "k", "offset").collect()))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
 def test_staged_batches_cover_all_records(spark):
     from logweave.sources.fixtures import staged_batches
 
