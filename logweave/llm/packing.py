@@ -20,6 +20,7 @@ of their own; rows without id are packed like others. Extra columns are ignored.
 from __future__ import annotations
 
 import itertools
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from logweave.llm.storage import staged
-from logweave.llm.text import slices, text_bytes, word_codes, word_spans
+from logweave.llm.text import ascii_lower, slices, word_codes, text_bytes, word_spans
 
 LENGTH = 4096
 END = 2
@@ -39,9 +40,24 @@ END = 2
 UNIT = 8
 #: The linear program ends when its value is within this share of the optimum.
 GAP = 1e-3
-#: Distinct words that a task's memo of ids holds before it starts anew.
-MEMO = 1 << 19
+#: Distinct parts of words that a worker's memo of ids holds before it starts anew.
+MEMO = 1 << 20
 RANGE_ROWS = 4096
+#: Bytes a-z and 0-9; and printable marks, without those that contractions and special tokens hold.
+PLAIN = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz0123456789"))
+MARK = np.isin(np.arange(256), list(b"!#$%&()*+,-./:;=?@[]^_{}~\"\\`"))
+#: The second bytes of the letters from sharp s to y with diaeresis, all lower-case; and words of such letters and a-z.
+ACCENTED = (np.arange(256) >= 0x9F) & (np.arange(256) <= 0xBF) & (np.arange(256) != 0xB7)
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+
+
+def _byte_names() -> dict[int, int]:
+    """The letter by which byte-level vocabularies name each byte: itself if it can be seen, else the next free one."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in seen)}
+
+
+BYTE_NAMES = _byte_names()
 
 
 @lru_cache(maxsize=2)
@@ -49,32 +65,79 @@ def _tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
-def ids_of(column: pa.Array, path: str, memo: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts on end, each with the end id, and where each text's ids begin.
+def _parts(raw: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts (A-Z lower-cased) in parts that the tokenizer never joins: (bytes, start, end, text number).
 
-    The tokenizer never joins what white space parts, so each distinct word is encoded once.
+    A part is a word, or a word's plain letters and digits and, on their own, the plain marks that
+    end it. Words that hold ``<`` might be special tokens: they keep their case and stay whole.
     """
-    raw, begins = text_bytes(column)
     start, end, doc = word_spans(raw, begins)
+    special = np.unique(np.searchsorted(start, np.flatnonzero(raw == ord("<")), side="right") - 1)
+    low = ascii_lower(raw)
+    for k in special.tolist():
+        low[start[k]:end[k]] = raw[start[k]:end[k]]
+    if not len(start):
+        return low, start, end, doc
+    body = np.maximum.accumulate(np.where(MARK[low], -1, np.arange(len(low))))[end - 1]  # the last byte that is no mark
+    last, before = low[np.maximum(body, 0)], low[np.maximum(body - 1, 0)]
+    cut = (body >= start) & (body < end - 1) & (PLAIN[last] | (body > start) & (before == 0xC3) & ACCENTED[last])
+    cut[special] = False
+    where = np.flatnonzero(cut)
+    middle = body[where] + 1
+    return low, np.insert(start, where + 1, middle), np.insert(end, where, middle), np.insert(doc, where + 1, doc[where])
+
+
+class Memo:
+    """The ids of parts of words seen before, on end in one array."""
+
+    def __init__(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.size = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def look_up(self, words: list[bytes], path: str) -> np.ndarray:
+        """Each word's number, after its ids have been added if they weren't there."""
+        if len(self.place) > MEMO:
+            self.__init__()
+        new = [w for w in words if w not in self.place]
+        tokenizer = _tokenizer(path)
+        one = tokenizer.model.tokenize
+        plain, odd = [], []
+        for w in new:
+            (plain if LETTERS.fullmatch(w) else odd).append(w)
+        # lower-case letters are one piece as they are: only the merges are left to do
+        got = [[t.id for t in one(w.decode() if w.isascii() else w.decode("latin-1").translate(BYTE_NAMES))] for w in plain]
+        got += [e.ids for e in tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in odd], add_special_tokens=False)]
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        ids = np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(size.sum()))
+        self.place.update(zip([*plain, *odd], range(len(self.place), len(self.place) + len(new)), strict=True))
+        self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, ids])
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
+
+@lru_cache(maxsize=1)
+def _memo(path: str) -> Memo:
+    """The worker's own memo: later tasks go on with it."""
+    return Memo()
+
+
+def ids_of(column: pa.Array, path: str, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts on end, each with the end id, and where each text's ids begin.
+
+    The tokenizer never joins what white space parts, so each distinct part is encoded once.
+    """
+    raw, start, end, doc = _parts(*text_bytes(column))
     n = len(column)
     code, vocabulary = word_codes(raw, start, end)
-    known = vocabulary.to_pylist()
-    if len(memo) > MEMO:
-        memo.clear()
-    new = [w for w in known if w not in memo]
-    for w, e in zip(new, _tokenizer(path).encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False), strict=True):
-        memo[w] = np.array(e.ids, np.uint32)
-    parts = [memo[w] for w in known]
-    size = np.array([len(p) for p in parts], np.int64)
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-    at = np.cumsum(size) - size
-    each = size[code]  # ids of every word
+    word = memo.look_up(vocabulary.to_pylist(), path)[code]
+    at = np.cumsum(memo.size) - memo.size
+    each = memo.size[word]  # ids of every part
     held = np.bincount(doc, each, minlength=n).astype(np.int64) + 1
     first = np.concatenate([[0], np.cumsum(held)])
     ids = np.full(first[-1], END, np.uint32)
     inner = np.cumsum(each) - each
-    into = np.arange(int(each.sum())) + np.repeat(doc, each)  # one end id for each text before
-    ids[into] = flat[np.repeat(at[code] - inner, each) + np.arange(int(each.sum()))]
+    place = np.arange(int(each.sum()))
+    ids[place + np.repeat(doc, each)] = memo.ids[np.repeat(at[word] - inner, each) + place]  # one end id for each text before
     return ids, first
 
 
@@ -84,7 +147,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
     kind = pair.schema["doc_id"].dataType.simpleString()
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[bytes, np.ndarray] = {}
+        memo = _memo(path)
         for part in slices(batches):
             ids, first = ids_of(part.column("text"), path, memo)
             total = np.diff(first)

@@ -75,6 +75,6 @@ def word_array(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
 
 
 def word_codes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """A code for every word, and the distinct words by code."""
+    """A code for every word (or part of one, in order), and the distinct words by code."""
     coded = word_array(raw, start, end).dictionary_encode()
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary

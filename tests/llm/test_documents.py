@@ -1,0 +1,361 @@
+"""Operators on documents: odd cases, empty tables and brute force."""
+
+import collections
+import math
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from logweave.llm import contextmix, language, lines, mixing, packing, quality, simhash
+from logweave.llm.components import components, local_components
+from tests.llm.helpers import LONG, LOWER, ROWS, SCHEMA, TOKENIZER, documents, words
+
+
+def _labels(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+# --- quality -----------------------------------------------------------------
+
+def test_quality_odd_rows_and_missing_labels(spark):
+    docs = documents(spark)
+    none = quality.quality_scores(docs, _labels(spark, [(4, None, 0), (5, 7, 0)])).collect()
+    assert len(none) == len(ROWS) and {r["score"] for r in none} == {0.5} and {r["predicted"] for r in none} == {1}
+    one = quality.quality_scores(docs, _labels(spark, [(k, 0, 0) for k in range(1, 11)])).collect()
+    assert {(r["score"], r["predicted"]) for r in one} == {(0.0, 0)}
+    assert next(r["held_out"] for r in one if r["doc_id"] is None)
+    for r in one:
+        if r["doc_id"] is not None:
+            assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+    assert quality.quality_scores(docs.limit(0), _labels(spark, [])).count() == 0
+
+
+def test_quality_learns_and_keeps_columns(spark):
+    rng = random.Random(1)
+    rows, marks = [], []
+    for k in range(400):
+        bad = k % 4 == 0
+        text = " ".join(rng.choice(("sun", "moon", "tree", "stone", "river")) + ("!!" if bad else "") for _ in range(rng.randint(5, 60)))
+        rows.append((k, text.upper() if bad else text, "en", "a", len(text)))
+        marks.append((k, int(not bad), 0))
+    docs, labels = documents(spark, rows), _labels(spark, marks)
+    got = {r["doc_id"]: r for r in quality.quality_scores(docs, labels).collect()}
+    held = [k for k in got if got[k]["held_out"]]
+    assert held and sum(got[k]["predicted"] == marks[k][1] for k in held) / len(held) > 0.95
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    kept = quality.accepted(docs, labels)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {k for k in got if got[k]["predicted"]}
+
+
+# --- lines -------------------------------------------------------------------
+
+def _cut(rows, least):
+    """Lines that lie in a run of enough words which occurs earlier: every pair of runs compared."""
+    texts = {}
+    for i, t in rows:
+        if t is not None:
+            texts[i, xxhash.xxh64_intdigest(t.encode(), 42) - (1 << 64 if xxhash.xxh64_intdigest(t.encode(), 42) >> 63 else 0)] = t.split("\n")
+    order = sorted(texts, key=lambda k: ((k[0] is not None), k[0] or 0, k[1]))
+    gone = collections.defaultdict(set)
+    for a, here in enumerate(order):
+        for there in order[:a + 1]:
+            x, y = texts[here], texts[there]
+            for i in range(len(x)):
+                for j in range(len(y)):
+                    if here == there and j >= i:
+                        break
+                    n = 0
+                    while i + n < len(x) and j + n < len(y) and x[i + n] == y[j + n]:
+                        n += 1
+                    if sum(len(words(line)) for line in x[i:i + n]) >= least:
+                        gone[here] |= set(range(i, i + n))
+    return {k: "\n".join(line for p, line in enumerate(texts[k]) if p not in gone[k]) for k in texts}
+
+
+def test_lines_against_all_pairs_of_runs(spark):
+    rng = random.Random(3)
+    pool = ["", "a", "b c", "d e f", "g h i j", "k " * 9, "l"]
+    rows = [(k if k % 9 else None, "\n".join(rng.choice(pool[: 3 + k % 5]) for _ in range(rng.randint(1, 14)))) for k in range(40)]
+    rows += [(50, None), (51, ""), (52, "\n"), rows[3], rows[3], (rows[4][0], "another text of one id"), (60, "k " * 9), (61, "k " * 9)]
+    for least in (4, 8):
+        want = _cut(rows, least)
+        docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
+        got = lines.without_later_copies(docs, least).collect()
+        assert len(got) == len(rows)
+        expect = collections.Counter((i, None if t is None else next(v for (k, h), v in want.items() if k == i and h == _signed(t))) for i, t in rows)
+        assert collections.Counter((r["doc_id"], r["text"]) for r in got) == expect
+
+
+def _signed(text):
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def test_lines_odd_rows(spark):
+    docs = documents(spark)
+    got = lines.without_later_copies(docs)
+    assert got.columns == docs.columns and got.count() == len(ROWS)
+    by = {r["doc_id"]: r for r in got.collect()}
+    assert by[1]["text"] is None and by[7]["text"] == LONG and by[7]["n_chars"] == len(LONG)
+    copy = documents(spark, [(1, LONG, "la", "c", len(LONG)), (2, "first\n" + LONG, "la", "c", len(LONG) + 6), (3, LONG, "la", "c", 7)])
+    cut = {r["doc_id"]: (r["text"], r["n_chars"]) for r in lines.without_later_copies(copy).collect()}
+    assert cut == {1: (LONG, len(LONG)), 2: ("first", 5), 3: ("", 0)}
+    assert lines.without_later_copies(docs.limit(0)).count() == 0
+    counts = {r["doc_id"]: (r["lines"], r["deleted"]) for r in lines.line_dedup(copy).collect()}
+    assert counts == {1: (1, 0), 2: (2, 1), 3: (1, 1)}
+
+
+# --- SimHash -----------------------------------------------------------------
+
+def _print(text, shingle=3):
+    w = words((text or "").translate(LOWER))
+    if not w:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(" ".join(w[i:i + shingle]).encode(), 42) for i in range(max(1, len(w) - shingle + 1))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_and_groups(spark):
+    got = simhash.simhash_groups(documents(spark)).collect()
+    assert sorted((r["doc_id"] or -1, int(r["fingerprint"], 16)) for r in got) == sorted((i or -1, _print(t)) for i, t, *_ in ROWS)
+    group = {r["doc_id"]: r["component_id"] for r in got}
+    assert group[1] == group[2] == group[3] == 1 and group[5] == group[6] == 4 and group[None] is None and group[8] in (7, 8)
+    docs = documents(spark)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert sorted(x or -1 for x in ids) == sorted({g or -1 for g in group.values()})
+    assert simhash.simhash_groups(docs.limit(0)).count() == 0 and simhash.one_of_each(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("range_rows", [16, 1000])
+def test_gray_index_finds_all_links(spark, range_rows):
+    rng = np.random.default_rng(2)
+    seeds = rng.integers(0, 1 << 63, 120, dtype=np.uint64)
+    prints = [int(s) for s in seeds] + [0, 1, 3, (1 << 64) - 1, 1 << 63]
+    for s in seeds[:60].tolist():
+        for _ in range(4):
+            for b in rng.integers(0, 64, 2).tolist():
+                s ^= 1 << b
+            prints.append(s)
+    prints = sorted(set(prints))
+    a, b = np.triu_indices(len(prints), 1)
+    x = np.array(prints, np.uint64)
+    near = np.bitwise_count(x[a] ^ x[b]) <= 2
+    want = local_components(len(prints), a[near], b[near])
+    table = spark.createDataFrame([(v,) for v in x.view(np.int64).tolist()], "fp long")
+    links = [(r["a"], r["b"]) for r in simhash.near_links(table, 2, range_rows).collect()]
+    place = {v: k for k, v in enumerate(x.view(np.int64).tolist())}
+    got = local_components(len(prints), np.array([place[p] for p, _ in links], int), np.array([place[q] for _, q in links], int))
+    assert near.sum() > 100 and (got == want).all()
+
+
+def test_components(spark):
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(0, 400, 300), rng.integers(0, 400, 300)
+    a, b = np.concatenate([a, np.arange(500, 560)]), np.concatenate([b, np.arange(501, 561)])  # a long chain
+    want = local_components(600, a, b)
+    got = components(spark.createDataFrame(list(zip(a.tolist(), b.tolist(), strict=True)), "a long, b long"), "t-links").collect()
+    linked = {*a[a != b].tolist(), *b[a != b].tolist()}
+    assert {r["node"]: r["root"] for r in got} == {k: int(want[k]) for k in linked} and len(got) == len(linked)
+    assert components(spark.createDataFrame([], "a long, b long"), "t-none").count() == 0
+
+
+# --- mixing ------------------------------------------------------------------
+
+def _targets(sizes):
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(order)}
+    total, target, open_ = 1.5 * sum(sizes.values()), dict.fromkeys(order, 0.0), set(order)
+    while open_:
+        level = (total - sum(2 * sizes[s] for s in order if s not in open_)) / sum(weight[s] for s in open_)
+        above = {s for s in open_ if level * weight[s] > 2 * sizes[s]}
+        if not above:
+            return {s: level * weight[s] if s in open_ else 2.0 * sizes[s] for s in order}
+        open_ -= above
+    return {s: 2.0 * sizes[s] for s in order}
+
+
+def test_mix_targets_and_budgets(spark):
+    rng = random.Random(5)
+    rows = ROWS + [(100 + k, "w " * rng.randint(0, 30), "en", rng.choice(("a", "b", "z", "\U0001f600", "￿", None)), 1) for k in range(300)]
+    docs = documents(spark, rows)
+    got = mixing.source_mix(docs).collect()
+    sizes, source = collections.Counter(), {}
+    for i, t, _, s, _ in rows:
+        sizes[s] += len(words(t))
+        source[i] = s
+    want, taken = _targets(dict(sizes)), collections.Counter()
+    assert len(got) == len(rows)
+    for r in got:
+        s = source[r["doc_id"]]
+        assert r["source_size"] == sizes[s] and r["target"] == pytest.approx(want[s]) and 0 <= r["taken"] <= 2 * r["size"]
+        taken[s] += r["taken"]
+    assert all(taken[s] == math.floor(want[s] + 1e-9) for s in sizes)
+    again = mixing.source_mix(docs.repartition(7)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    whole = mixing.mixed(docs)
+    assert whole.columns == docs.columns
+    rows_out = collections.Counter(r["doc_id"] for r in whole.collect())
+    per_id = collections.Counter(i for i, *_ in rows)
+    assert all(n <= 2 * per_id[i] for i, n in rows_out.items())
+    for s in sizes:
+        out = sum(n * len(words(next(t for i, t, *_ in rows if i == d))) for d, n in rows_out.items() if source[d] == s)
+        assert abs(out - want[s]) <= max(len(words(t)) for i, t, _, q, _ in rows if q == s)
+    assert mixing.source_mix(docs.limit(0)).count() == 0
+    empty = mixing.source_mix(documents(spark, ROWS[:3])).collect()
+    assert {(r["target"], r["taken"]) for r in empty} == {(0.0, 0)}
+
+
+# --- packing -----------------------------------------------------------------
+
+def test_packing_keeps_every_id(spark):
+    docs = documents(spark)
+    got = packing.pack(docs, TOKENIZER).collect()
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    want = collections.Counter()
+    for i, t, *_ in ROWS:
+        ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        for at in range(0, len(ids), 4096):
+            piece = ids[at:at + 4096]
+            want[i, at, len(piece), zlib.crc32(piece.tobytes()), len(ids)] += 1
+    assert collections.Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in got) == want
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r["sequence_id"]].append((r["offset"], r["length"], r["padded_to"]))
+    for pieces in by.values():
+        at = 0
+        for offset, length, padded in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 4096 and padded == (at if at & (at - 1) == 0 else 4096)
+    assert packing.pack(docs.limit(0), TOKENIZER).count() == 0
+
+
+def test_word_by_word_ids_are_those_of_whole_texts():
+    rng = random.Random(6)
+    alphabet = ["a", "B", "'s", "'", "é", "é", "́", "ß", "Σ", "ς", "1", "٣", "日", " ", " ", "\x1c", "\x85", " ", "\n", "\t", "\x0b",
+                "!", "<|endoftext|>", "<|startoftext|>", "</w>", "\U0001f600", "‍", "ﬁ", "İ", "-",
+                "ö", "Ö", "à", "÷", "ÿ", "ß", "th", "tion", ",", ".", "<", "!!", "_"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
+    ids, first = packing.ids_of(pa.array(texts), TOKENIZER, packing.Memo())
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    for k, text in enumerate(texts):
+        assert ids[first[k]:first[k + 1]].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], text
+
+
+def test_cutting_plan_is_tight_and_complete():
+    rng = np.random.default_rng(7)
+    for n in (1, 2, 30, 3000):
+        sizes = np.minimum(rng.lognormal(4, 1, n).astype(int) + 1, 512)
+        histogram = collections.Counter(sizes.tolist())
+        plan = packing.cutting_plan(dict(histogram), 512)
+        used = collections.Counter()
+        for pattern, often, size in plan:
+            assert pattern @ size <= 512 and often > 0
+            for k in np.flatnonzero(pattern):
+                used[int(size[k])] += int(pattern[k]) * often
+        assert used == histogram
+        assert sum(often for _, often, _ in plan) <= math.ceil(sizes.sum() / 512 * 1.02) + 1
+    same = packing.cutting_plan({300: 5000}, 512)
+    assert sum(often for _, often, _ in same) == 5000
+    assert packing.cutting_plan({}, 512) == []
+
+
+# --- language ----------------------------------------------------------------
+
+def _two_languages(n):
+    rng = random.Random(8)
+    parts = {"aa": ("ka", "lo", "mi", "nu"), "bb": ("rst", "und", "ich", "öf")}
+    rows = []
+    for k in range(n):
+        lang = ("aa", "bb")[k % 2]
+        rows.append((k, " ".join("".join(rng.choice(parts[lang]) for _ in range(3)) for _ in range(rng.randint(1, 200))), lang, "s", 1))
+    return rows
+
+
+def test_language_learns_and_handles_odd_rows(spark):
+    rows = _two_languages(240) + [(900 + k, *r[1:2], None, *r[3:]) for k, r in enumerate(ROWS)]
+    got = {r["doc_id"]: r for r in language.languages(documents(spark, rows)).collect()}
+    held = [k for k in range(240) if got[k]["held_out"]]
+    assert held == [k for k in range(240) if zlib.crc32(str(k).encode()) % 4 == 2]
+    assert sum(got[k]["lang_pred"] == rows[k][2] for k in held) / len(held) > 0.95
+    for k, (_, text, *_) in enumerate(ROWS):
+        letters = any(c.isalpha() for c in text or "")
+        assert (got[900 + k]["lang_pred"] == "und") == (not letters) and 0 <= got[900 + k]["score"] <= 1
+    assert language.languages(documents(spark).limit(0)).count() == 0
+    unknown = language.languages(documents(spark, [(i, t, None, s, n) for i, t, _, s, n in ROWS])).collect()
+    assert {(r["lang_pred"], r["score"]) for r in unknown} == {("und", 0.0)}
+
+
+def test_folded_tables_equal_the_network():
+    rows = _two_languages(80)
+    network = language.train([r[1].encode() for r in rows], [r[2] for r in rows])
+    whole = network.predict(pa.array([r[1] for r in rows]))
+    assert whole.sum(1) == pytest.approx(1) and (whole.argmax(1) == [0, 1] * 40).mean() > 0.95
+    # a text's windows don't depend on what else is in the batch
+    assert network.predict(pa.array([rows[5][1]]))[0] == pytest.approx(whole[5], abs=1e-5)
+
+
+# --- language model ----------------------------------------------------------
+
+def _base(rows):
+    tokens = {k: [*words((t or "").translate(LOWER)), ""] for k, (_, t, *_) in enumerate(rows)}
+    learn = {k: i is not None and zlib.crc32(str(i).encode()) % 5 != 1 for k, (i, *_) in enumerate(rows)}
+    counts = collections.Counter(w for k in tokens if learn[k] for w in tokens[k])
+    total, distinct = sum(counts.values()), len(counts)
+    score = lambda w: math.log10((counts[w] + 0.5) / (total + 0.5 * (distinct + 1)))
+    return [(rows[k][0], len(t), sum(counts[w] > 0 for w in t), total, sum(map(score, t))) for k, t in tokens.items()]
+
+
+def _sorted(rows):
+    return sorted(rows, key=lambda r: tuple((v is not None, v or 0) for v in r))
+
+
+def test_model_counts_and_scores(spark):
+    rng = random.Random(9)
+    rows = list(ROWS)
+    for k in range(200):
+        kinds = (("ka", "lo", "mi.", "rare%d" % rng.randint(0, 400), "nu"), ("den", "dor", "dul,", "das", "di."))[k % 2]  # two topics
+        rows.append((20 + k, " ".join(rng.choice(kinds) for _ in range(rng.randint(1, 80))), "x", "s", 1))
+    rows.append((400, "again " * 500, "x", "s", 1))
+    got = contextmix.language_model_scores(documents(spark, rows)).collect()
+    want = _base(rows)
+    assert len(got) == len(rows)
+    for g, w in zip(_sorted([(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in got]), _sorted(want), strict=True):
+        assert g[:4] == w[:4] and g[4] == pytest.approx(w[4])
+    assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
+    held = [r for r in got if r["held_out"] and (r["doc_id"] or 0) >= 20]
+    assert held and sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+    assert all((r["bits_per_byte"] is None) == (r["n_tokens"] == 1 and not any(t for i, t, *_ in rows if i == r["doc_id"])) for r in got)
+    assert contextmix.language_model_scores(documents(spark).limit(0)).count() == 0
+
+
+def test_model_without_training_texts(spark):
+    got = contextmix.scores(documents(spark), F.lit(False)).collect()
+    assert {(r["n_known"], r["train_tokens"]) for r in got} == {(0, 0)} and all(r["base_score"] == 0 for r in got)
+
+
+def test_known_words_share_one_probability(spark):
+    """Over the words of a bucket's tree, the coded bits' probabilities add up to one in every context."""
+    rng = np.random.default_rng(1)
+    names = [b"w%d" % k for k in range(300)]
+    hashes = rng.integers(0, 1 << 63, 300, dtype=np.int64)
+    table = pa.table({"word": pa.array(names, pa.binary()), "context": pa.array([k % 3 for k in range(300)], pa.int32()),
+                      "n": rng.integers(1, 50, 300), "hash": hashes})
+    bucket = contextmix.Bucket(table, 0)
+    mixer = contextmix.Mixer.new(contextmix.WORD_INPUTS, contextmix.WORD_GATES)
+    top = contextmix.Top(0, bucket.counts.sum(0)[None], np.array([300]), np.zeros(contextmix.CONTEXTS))
+    for context in (0, 1, 2, 7):
+        total = np.zeros(300)
+        for at, inputs, gate, bit in bucket.paths(top, np.arange(300), np.full(300, context), np.zeros(300)):
+            p = mixer.probability(inputs, gate)
+            np.add.at(total, at, np.log(np.where(bit == 1, p, 1 - p)))
+        assert np.exp(total).sum() == pytest.approx(1)
