@@ -43,6 +43,11 @@ ADMISSION = ("maxFilesPerTrigger", "maxBytesPerTrigger")
 MAX_FILES_PER_TRIGGER = "1000"
 
 
+def admission(config: dict[str, str]) -> dict[str, str]:
+    """What bounds a micro-batch of a log table."""
+    return {k: str(config[k]) for k in ADMISSION if k in config} or {"maxFilesPerTrigger": MAX_FILES_PER_TRIGGER}
+
+
 def read_log(
     spark: SparkSession,
     config: dict[str, str] | None = None,
@@ -69,8 +74,7 @@ def read_log(
         raise ValueError("read_log needs Kafka settings or a log table path")
     if not streaming:
         return spark.read.schema(LOG_SCHEMA).parquet(path)
-    bounds = {k: str(config[k]) for k in ADMISSION if k in config} or {"maxFilesPerTrigger": MAX_FILES_PER_TRIGGER}
-    return spark.readStream.schema(LOG_SCHEMA).options(**bounds).parquet(path)
+    return spark.readStream.schema(LOG_SCHEMA).options(**admission(config)).parquet(path)
 
 
 def write_log(

@@ -27,19 +27,12 @@ def test_producer_settings_are_not_lost():
                                      "kafka.metric.reporters": "p"}
 
 
-def test_log_table_streams_are_bounded(spark, tmp_path):
-    from logweave.schemas import LOG_SCHEMA
-    from logweave.sources.log import read_log
-
-    spark.createDataFrame([], LOG_SCHEMA).write.parquet(str(tmp_path / "log"))
-
-    def options(config):
-        plan = read_log(spark, config, path=str(tmp_path / "log"))._jdf.queryExecution().logical()
-        return plan.dataSource().options().apply("maxFilesPerTrigger") if "maxFilesPerTrigger" in plan.dataSource().options().toString() else None
+def test_log_table_streams_are_bounded():
+    from logweave.sources.log import admission
 
-    assert options({}) == "1000"
-    assert options({"maxFilesPerTrigger": "7"}) == "7"
-    assert options({"maxBytesPerTrigger": "1g"}) is None
+    assert admission({}) == {"maxFilesPerTrigger": "1000"}
+    assert admission({"maxFilesPerTrigger": 7, "topic": "t"}) == {"maxFilesPerTrigger": "7"}
+    assert admission({"maxBytesPerTrigger": "1g"}) == {"maxBytesPerTrigger": "1g"}
 
 
 def test_shared_folder_is_required_off_local(monkeypatch):
