@@ -347,10 +347,7 @@ def test_known_words_share_one_probability(spark):
     """Over the words of a bucket's tree, the coded bits' probabilities add up to one in every context."""
     rng = np.random.default_rng(1)
     names = [b"w%d" % k for k in range(300)]
-    hashes = rng.integers(0, 1 << 63, 300, dtype=np.int64)
-    table = pa.table({"word": pa.array(names, pa.binary()), "context": pa.array([k % 3 for k in range(300)], pa.int32()),
-                      "n": rng.integers(1, 50, 300), "hash": hashes})
-    bucket = contextmix.Bucket(table, 0)
+    bucket = contextmix.Bucket([(0, 0, names, np.ones(300, np.int64), np.arange(300) % 3, rng.integers(1, 50, 300))], 0)
     mixer = contextmix.Mixer.new(contextmix.WORD_INPUTS, contextmix.WORD_GATES)
     top = contextmix.Top(0, bucket.counts.sum(0)[None], np.array([300]), np.zeros(contextmix.CONTEXTS))
     for context in (0, 1, 2, 7):
@@ -359,3 +356,12 @@ def test_known_words_share_one_probability(spark):
             p = mixer.probability(inputs, gate)
             np.add.at(total, at, np.log(np.where(bit == 1, p, 1 - p)))
         assert np.exp(total).sum() == pytest.approx(1)
+
+
+def test_uses_round_trip():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5, 400):
+        place = np.sort(rng.choice(1 << 20, n, replace=False))
+        times = rng.choice([1, 2, 254, 255, 256, 70_000], n)
+        got = contextmix._used(contextmix._use(place, times))
+        assert got[0].tolist() == place.tolist() and got[1].tolist() == times.tolist()
