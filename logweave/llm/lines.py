@@ -30,9 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweave.llm.storage import free_name, staged
+from logweave.llm.storage import free_name, staged, word_count
 
-WORD = r"[^\x20\x09-\x0D]+"
 #: Repeated runs of fewer words stay.
 MIN_WORDS = 50
 #: Ranks that one window sums up.
@@ -52,7 +51,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
     line = F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")
     rows = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("doc_hash"), line)
     rows = rows.select(*DOC, "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"),
-                       F.regexp_count("line", F.lit(WORD)).alias("words"))
+                       word_count(F.col("line")).alias("words"))
     return rows.repartition(*DOC).dropDuplicates([*DOC, "pos"])
 
 

@@ -25,16 +25,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweave.llm.storage import free_name, staged
+from logweave.llm.storage import free_name, staged, word_count
 
-WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2
 RANGE_ROWS = 4096
 
 
 def words(column: Column) -> Column:
-    return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("long")
+    return word_count(column).cast("long")
 
 
 def mix_key(id_column: Column) -> Column:

@@ -26,6 +26,14 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def word_count(text: Column) -> Column:
+    """The words of a text, runs of bytes other than space and 0x09-0x0D; null counts as empty.
+
+    Each word becomes one letter and the letters are counted: no list of words is built."""
+    one = F.regexp_replace(text, r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+", "x")
+    return F.when(text.rlike(r"[^\x20\x09-\x0D]"), F.length(one)).otherwise(0)
+
+
 def remainder(column: str, n: int) -> Column:
     """crc32 of the column as text, modulo ``n``; null for null."""
     return F.crc32(F.col(column).cast("string")) % n

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that one slice holds at most (a longer single text is a slice of its own).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text",
