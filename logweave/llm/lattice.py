@@ -155,7 +155,7 @@ def _close(x: np.ndarray, group: np.ndarray, first: np.ndarray, threshold: float
         at = stop
 
 
-def _dealt(rows: DataFrame, key: str, size: Column) -> DataFrame:
+def _dealt(rows: DataFrame, size: Column) -> DataFrame:
     """Rows of each group in blocks, once for each pair of blocks; many small groups make one task."""
     blocks = F.ceil(size / BLOCK).cast("long")
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
@@ -213,7 +213,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     keys = staged(classes.select("node", "dims", "embedding").mapInArrow(keyed, "node long, cell long, home boolean"), "lattice-cells")
     # only cells where somebody lives and somebody else calls
     live = keys.groupBy("cell").agg(F.count("*").alias("n"), F.count_if("home").alias("homes")).where("n > 1 AND homes > 0").drop("homes")
-    met = staged(_dealt(keys.join(live, "cell"), "cell", F.col("n")).select("cell", "node", "home", "low", "high"), "lattice-met")
+    met = staged(_dealt(keys.join(live, "cell"), F.col("n")).select("cell", "node", "home", "low", "high"), "lattice-met")
     vector = classes.select("node", "dims", "embedding")
 
     def linked(table: pa.Table) -> pa.Table:
@@ -235,7 +235,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     roots = components(links, "lattice-links")
     members = classes.join(roots, "node").select("node", "root", "dims", "embedding", "n", "least")
     sizes = members.groupBy("root").agg(F.count("*").alias("size"), F.min("least").alias("component_id"))
-    members = staged(_dealt(members.join(sizes, "root"), "root", F.col("size")), "lattice-members")
+    members = staged(_dealt(members.join(sizes, "root"), F.col("size")), "lattice-members")
 
     def counted(table: pa.Table) -> pa.Table:
         table, group = _grouped(table, "root")

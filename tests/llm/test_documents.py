@@ -365,3 +365,11 @@ def test_uses_round_trip():
         times = rng.choice([1, 2, 254, 255, 256, 70_000], n)
         got = contextmix._used(contextmix._use(place, times))
         assert got[0].tolist() == place.tolist() and got[1].tolist() == times.tolist()
+
+
+def test_word_count(spark):
+    from logweave.llm.storage import word_count
+
+    texts = ["", " \n", None, "a", " a\x0bb  c\t", "a\x1cb c d", "é ü x", "\n\nx\n", LONG]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert sorted(r["n"] for r in df.select(word_count(F.col("t")).alias("n")).collect()) == sorted(len(words(t)) for t in texts)
