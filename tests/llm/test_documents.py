@@ -358,6 +358,74 @@ def test_known_words_share_one_probability(spark):
         assert np.exp(total).sum() == pytest.approx(1)
 
 
+def test_words_before_predict(spark):
+    """Texts whose words follow each other score far better than the same words shuffled."""
+    rng = random.Random(4)
+    names = ["w%d" % k for k in range(40)]
+    def chain():
+        at, out = rng.randrange(40), []
+        for _ in range(60):
+            out.append(names[at])
+            at = (at * 7 + rng.choice((3, 11))) % 40
+        return out
+    rows = []
+    for k in range(0, 600, 2):
+        own = chain()
+        rows.append((k, " ".join(own), "x", "s", 1))
+        rows.append((k + 1, " ".join(rng.sample(own, len(own))), "x", "s", 1))
+    learn = (F.col("doc_id") % 2 == 0) & (F.col("doc_id") < 500)
+    got = {r["doc_id"]: r["score"] for r in contextmix.scores(documents(spark, rows), learn).collect()}
+    held = range(500, 600, 2)
+    assert sum(got[k] for k in held) > 0.5 * sum(got[k + 1] for k in held)
+
+
+def _entries(rng, bits, names):
+    """Random tokens as the entries of two slices, by bucket: (slice, start, words, ...) and (slice, start, ...) of each."""
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64)
+    tokens = rng.integers(0, len(names), 4000) ** 2 // len(names)
+    one, two = contextmix._before(tokens, np.arange(0, 4001, 50), hashes)
+    return hashes, tokens, one, two
+
+
+def test_counts_after_words_are_those_of_all_tokens(spark, monkeypatch):
+    """At every node of every word's path, in all buckets and cells, against counts over the raw tokens."""
+    monkeypatch.setattr(contextmix, "CELL_TOKENS", 400)
+    bits, names = 2, [b"w%d" % k for k in range(60)]
+    hashes, tokens, one, two = _entries(np.random.default_rng(7), bits, names)
+    context = np.full(len(tokens), contextmix.INSIDE)
+    home = (hashes >> np.uint64(64 - bits)).astype(int)
+    words, entries = [], []
+    for name, part in enumerate(np.array_split(np.arange(len(tokens)), 2)):
+        for bucket in range(1 << bits):
+            mine = part[home[tokens[part]] == bucket]
+            own, at = np.unique(tokens[mine], return_inverse=True)
+            words.append((name, bucket, contextmix._packed((0, [names[k] for k in own], np.ones(len(own), np.uint32), np.full(len(own), contextmix.INSIDE, np.uint8), np.bincount(at).astype(np.uint32)))))
+            entries.append((name, bucket, contextmix._packed((0, contextmix._planes(one[mine]), contextmix._planes(two[mine]), at.astype(np.uint32), np.ones(len(mine), np.uint32)))))
+    buckets = contextmix.staged(contextmix._buckets(spark.createDataFrame(words, "slice long, bucket long, data binary"), bits), "t-buckets")
+    top, _ = contextmix._summed(buckets, bits)
+    rows = contextmix._cells(spark.createDataFrame(entries, "slice long, bucket long, entries binary"), buckets, top).collect()
+    assert len(rows) > 4  # several cells in a bucket
+    every, checked = hashes[tokens], 0
+    for r in rows:
+        cell = contextmix._unpacked(r["data"])
+        chosen = np.arange(len(cell.row))
+        word = cell.bucket.hashes[cell.bucket.row[cell.row]]
+        depth = {}
+        for _, _, _, bit, follows, at, after in cell.bits(top, chosen, 0):
+            for k, e in enumerate(follows.tolist()):
+                # the node is that of the first differing depth: find it by the counts of all tokens below a prefix
+                for given, x, (n, taken) in ((one, cell.one, after[0]), (two, cell.two, after[1])):
+                    here = every[given == cell.hashes[x[e]]]
+                    d = depth.get(e, 0)
+                    while len(set((h >> np.uint64(63 - d)) for h in hashes[np.isin(hashes, every)] if h >> np.uint64(64 - d) == word[e] >> np.uint64(64 - d) or d == 0)) < 2:
+                        d += 1
+                    low = here if d == 0 else here[here >> np.uint64(64 - d) == word[e] >> np.uint64(64 - d)]
+                    assert n[k] == len(low) and taken[k] == (low >> np.uint64(63 - d) == word[e] >> np.uint64(63 - d)).sum()
+                    checked += 1
+                depth[e] = d + 1
+    assert checked > 10_000
+
+
 def test_uses_round_trip():
     rng = np.random.default_rng(2)
     for n in (0, 1, 5, 400):
