@@ -379,31 +379,66 @@ def test_words_before_predict(spark):
     assert sum(got[k] for k in held) > 0.5 * sum(got[k + 1] for k in held)
 
 
-def _entries(rng, bits, names):
-    """Random tokens as the entries of two slices, by bucket: (slice, start, words, ...) and (slice, start, ...) of each."""
+def _random_cells(spark, bits, names, size):
+    """Random tokens, dealt as the entries of two slices: the words' hashes, the tokens, the hashes before them, totals and cells."""
     hashes = np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64)
-    tokens = rng.integers(0, len(names), 4000) ** 2 // len(names)
-    one, two = contextmix._before(tokens, np.arange(0, 4001, 50), hashes)
-    return hashes, tokens, one, two
-
-
-def test_counts_after_words_are_those_of_all_tokens(spark, monkeypatch):
-    """At every node of every word's path, in all buckets and cells, against counts over the raw tokens."""
-    monkeypatch.setattr(contextmix, "CELL_TOKENS", 400)
-    bits, names = 2, [b"w%d" % k for k in range(60)]
-    hashes, tokens, one, two = _entries(np.random.default_rng(7), bits, names)
-    context = np.full(len(tokens), contextmix.INSIDE)
+    tokens = np.random.default_rng(7).integers(0, len(names), size) ** 2 // len(names)
+    one, two = contextmix._before(tokens, np.arange(0, size + 1, 50), hashes)
     home = (hashes >> np.uint64(64 - bits)).astype(int)
     words, entries = [], []
-    for name, part in enumerate(np.array_split(np.arange(len(tokens)), 2)):
+    for name, part in enumerate(np.array_split(np.arange(size), 2)):
         for bucket in range(1 << bits):
             mine = part[home[tokens[part]] == bucket]
             own, at = np.unique(tokens[mine], return_inverse=True)
             words.append((name, bucket, contextmix._packed((0, [names[k] for k in own], np.ones(len(own), np.uint32), np.full(len(own), contextmix.INSIDE, np.uint8), np.bincount(at).astype(np.uint32)))))
             entries.append((name, bucket, contextmix._packed((0, contextmix._planes(one[mine]), contextmix._planes(two[mine]), at.astype(np.uint32), np.ones(len(mine), np.uint32)))))
     buckets = contextmix.staged(contextmix._buckets(spark.createDataFrame(words, "slice long, bucket long, data binary"), bits), "t-buckets")
-    top, _ = contextmix._summed(buckets, bits)
-    rows = contextmix._cells(spark.createDataFrame(entries, "slice long, bucket long, entries binary"), buckets, top).collect()
+    top, slots = contextmix._summed(buckets, bits)
+    return hashes, tokens, one, two, top, slots, contextmix._cells(spark.createDataFrame(entries, "slice long, bucket long, entries binary"), buckets, top)
+
+
+def test_mixers_learn_from_all_tokens(spark, monkeypatch):
+    """Every gate that any training token's bit has moves, by the mean over cells that saw it, round by round."""
+    monkeypatch.setattr(contextmix, "CELL_TOKENS", 20_000)
+    *_, top, slots, cells = _random_cells(spark, 1, [b"w%d" % k for k in range(400)], 60_000)
+    got = contextmix._mixers(cells, top, slots)
+    mixers = (contextmix.Mixer.new(contextmix.WORD_INPUTS, contextmix.WORD_GATES), contextmix.Mixer.new(contextmix.BYTE_INPUTS, contextmix.BYTE_GATES))
+    start = mixers[0].weights.copy()
+    held = [(contextmix._unpacked(r["data"]), r["salt"] == 0) for r in cells.orderBy("bucket", "salt").collect()]
+    assert len(held) > 2 and sum(c.n.sum() for c, _ in held) == 60_000
+    gates = set()
+    for c, _ in held:
+        known = np.flatnonzero(c.n > 0)
+        for _, gate, _, _ in c.examples(top, known):
+            gates |= set(gate.tolist())
+    for k in range(contextmix.MIX_ROUNDS):
+        mixers = contextmix._averaged(sum(contextmix.taught(c, f, top, slots, mixers, 0.02 / (k + 1)) for c, f in held), mixers)
+    moved = set(np.flatnonzero((got[0].weights != start).any(1)).tolist())
+    assert moved == gates and len(gates) >= 8
+    for a, b in zip(got, mixers, strict=True):
+        assert a.weights == pytest.approx(b.weights) and a.table == pytest.approx(b.table)
+
+
+def test_topics_learn_from_whole_texts(spark):
+    """A word anywhere in a long training text is in the topics; a round over two parts adds up to that over all."""
+    rng = random.Random(3)
+    rows = [(k, " ".join([*("fill" for _ in range(4000)), "odd%d" % k, *("more" for _ in range(4000))]), "x", "s", 1) for k in range(30)]
+    rows += [(100 + k, " ".join(rng.choice(("ka", "lo", "mi")) for _ in range(50)), "x", "s", 1) for k in range(30)]
+    prior, word = contextmix._topics(documents(spark, rows), F.lit(True))
+    assert np.exp(prior).sum() == pytest.approx(1) and np.exp(word).sum(1) == pytest.approx(1)
+    slots = contextmix._word_slots([b"odd%d" % k for k in range(30)])
+    assert (word[:, slots] > word.min(1, keepdims=True) + 1).any(0).all()
+    size, slot, times = np.array([2, 3, 0, 1]), np.array([5, 9, 5, 7, 8, 9]), np.array([1, 4, 2, 2, 1, 3])
+    whole = contextmix._topic_sums(size, slot, times, (prior, word))
+    split = contextmix._topic_sums(size[:1], slot[:2], times[:2], (prior, word)) + contextmix._topic_sums(size[1:], slot[2:], times[2:], (prior, word))
+    assert whole == pytest.approx(split) and whole[:, -1].sum() == pytest.approx(4) and whole[:, :-1].sum() == pytest.approx(times.sum())
+
+
+def test_counts_after_words_are_those_of_all_tokens(spark, monkeypatch):
+    """At every node of every word's path, in all buckets and cells, against counts over the raw tokens."""
+    monkeypatch.setattr(contextmix, "CELL_TOKENS", 400)
+    hashes, tokens, one, two, top, _, cells = _random_cells(spark, 2, [b"w%d" % k for k in range(60)], 4000)
+    rows = cells.collect()
     assert len(rows) > 4  # several cells in a bucket
     every, checked = hashes[tokens], 0
     for r in rows:
