@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import chat, contextmix, language, lattice, lines, mixing, packing, quality, simhash, topk
+from logweave.llm import bpe, chat, contextmix, language, lattice, lines, manifest, mixing, packing, quality, rotation, simhash, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,5 +57,19 @@ def op9_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op2_byte_network_languages, op3_chat_turns, op4_context_mixing, op5_lattice_near_duplicates, op6_threshold_topk, op7_line_runs, op8_packing, op9_simhash_gray, op10_quality_discriminant)}
-SQL: dict[str, str] = {"op1_source_mix": mixing.SQL, "op6_threshold_topk": topk.SQL, "op7_line_runs": lines.SQL}
+def op11_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_block_rotation_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotation.fim_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op2_byte_network_languages, op3_chat_turns, op4_context_mixing, op5_lattice_near_duplicates, op6_threshold_topk, op7_line_runs, op8_packing, op9_simhash_gray, op10_quality_discriminant,
+                                                   op11_rank_array_bpe, op12_block_rotation_fim, op13_merkle_rollup)}
+SQL: dict[str, str] = {"op1_source_mix": mixing.SQL, "op6_threshold_topk": topk.SQL, "op7_line_runs": lines.SQL,
+                       "op12_block_rotation_fim": rotation.SQL, "op13_merkle_rollup": manifest.SQL}
