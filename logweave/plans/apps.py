@@ -32,7 +32,7 @@ from ..schemas import COUNTS_KEY, MESSAGE_AVRO_SCHEMA
 from ..session import require_utc
 from ..sources.catalog import latest_schema, value_subject
 from ..sources.log import read_log
-from ..streaming import metrics, sinks
+from ..streaming import keyed, metrics, sinks
 from ..streaming.router import DeadLetterRouter
 
 # Default window, lateness and trigger.
@@ -103,7 +103,7 @@ def check_checkpoints(config: dict[str, str], keys=CHECKPOINT_KEYS) -> None:
 
 def start_aggregation(spark: SparkSession, config: dict[str, str]) -> list[StreamingQuery]:
     """Console pass-through plus windowed counts to append-only Parquet and to
-    a keyed table (change log, or a database through MERGE when jdbc.url is
+    a keyed table (deltas and buckets, or a database through MERGE when jdbc.url is
     set).  Each query reads the log on its own, with its own checkpoint."""
     check_checkpoints(config)
     queries = [start_console(spark, config)]
@@ -118,7 +118,7 @@ def start_aggregation(spark: SparkSession, config: dict[str, str]) -> list[Strea
                   .option("checkpointLocation", config["upsert.checkpoint.location"])
                   .queryName("log_counts_jdbc").foreachBatch(target))
     else:
-        target = sinks.ChangelogUpsert(config["upsert.table.path"])
+        target = keyed.KeyedTable(config["upsert.table.path"], COUNTS_KEY, keyed.daily("window_start"))
         writer = target.writer(counts, config["upsert.checkpoint.location"], "log_counts_upsert")
     queries.append(_trigger(writer, config).start())
     return queries
@@ -157,4 +157,4 @@ def inspect_parquet(spark: SparkSession, path: str, n: int = 100) -> DataFrame:
 
 def read_counts_table(spark: SparkSession, path: str) -> DataFrame:
     """The keyed counts table as a reader sees it, by window and text."""
-    return sinks.latest_view(spark, path, COUNTS_KEY).orderBy(F.col("window_start"), F.col("text"))
+    return keyed.view(spark, path, COUNTS_KEY).orderBy(F.col("window_start"), F.col("text"))

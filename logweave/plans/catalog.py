@@ -5,6 +5,7 @@ batches of the whole log and return a batch read of their output)."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,20 +13,23 @@ from pyspark.sql import functions as F
 from ..functions.codec import decode_frames, encode_frames
 from ..operators.deadletter import Rule, dead_letter_fields, dead_letters, inspect, processed, route
 from ..operators.decode import decode_messages
+from ..operators.dedupe import dedupe
 from ..operators.windows import windowed_counts
 from ..schemas import COUNTS_KEY
 from ..session import new_run_dir, require_utc
 from ..sources import fixtures
 from ..sources.log import read_log, write_log
-from ..streaming import metrics, router, sinks
+from ..streaming import keyed, router, sinks, state
+from ..streaming.batches import BatchTable, Branch, FanOut, Measured, MetricsTable, fan_out_table
 from ..streaming.router import DeadLetterRouter
 from ..streaming.runner import StagedLog
+from ..streaming.state import state_session
 
 # Queries run on the events data: ~4.3 min between events at sf0.01, so the
 # 1 min / 2 min defaults would make near-empty windows; use 1 h / 2 h.
 WINDOW = "1 hour"
 WATERMARK = "2 hours"
-STAGES = 10         # files of the in-order streaming queries, one micro-batch each
+STAGES = 4          # ranges of the in-order streaming queries, a run each
 METRIC_STAGES = 3   # event_id ranges of the decode metrics
 LATE_STAGES = 4     # staged batches for the late-data query
 LATE_MOD = 13       # event_id % 13 = 0 arrives one batch late
@@ -76,61 +80,50 @@ def _counts_stream(stream: DataFrame) -> DataFrame:
 
 
 def decode_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per range of event ids: records received and skipped, summed over all micro-batches of its run."""
-    staged = StagedLog(spark, "decode-metrics", {"maxFilesPerTrigger": "1"})
-    totals = metrics.run_totals(spark)
-    rows = []
+    """Per range of event ids: records received and skipped, from the table that the query's
+    batches wrote. Each range is one batch of a run of its own on the same checkpoint."""
+    staged = StagedLog(spark, "decode-metrics")
+    table = MetricsTable(staged.path("metrics"))
 
-    def build(stream):
-        return decode_messages(stream).writeStream.format("noop").option(
-            "checkpointLocation", staged.path("ckpt")).queryName("decode_metrics_" + staged.root[-12:])
+    def build(stream):  # a new object for each run, as after a restart
+        return Measured(BatchTable(staged.path("messages")), table).writer(stream, staged.path("ckpt"), "decode_metrics_" + staged.root[-12:])
 
-    records = fixtures.log_records(spark, sf_dir, keep_event_id=True)
-    for k, b in enumerate(fixtures.staged_batches(records, METRIC_STAGES)):
-        staged.append(b)
-        got, _ = totals.of(staged.run(build).runId)
-        rows.append((k, got.get("received", 0), got.get("skipped", 0)))
-    return spark.createDataFrame(rows, "batch int, received long, skipped long")
+    staged.feed(fixtures.staged_batches(fixtures.log_records(spark, sf_dir, keep_event_id=True), METRIC_STAGES), build)
+    return table.rows(spark).select(F.col("batch_id").cast("int").alias("batch"), "received", "skipped")
 
 
 def _in_order(spark: SparkSession, sf_dir: str, name: str) -> tuple[StagedLog, list[DataFrame]]:
-    """A log whose files follow event time: each stage is written once, straight from its
-    range of the events, as one file, and a micro-batch takes one file."""
-    staged = StagedLog(spark, name, {"maxFilesPerTrigger": "1"})
-    records = fixtures.log_records(spark, sf_dir, keep_event_id=True)
-    return staged, [b.coalesce(1) for b in fixtures.staged_batches(records, STAGES)]
+    """A log that is fed range by range in event-time order. A range is written by as many
+    tasks as its scan has, and consumed before the next is written."""
+    return StagedLog(spark, name), fixtures.staged_batches(fixtures.log_records(spark, sf_dir, keep_event_id=True), STAGES)
 
 
 def window_counts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watermarked hourly counts through the append-mode Parquet sink."""
     staged, batches = _in_order(spark, sf_dir, "append")
     path, ckpt = staged.path("out"), staged.path("ckpt")
-    for b in batches:
-        staged.append(b)
-    staged.run(lambda stream: sinks.append_parquet(_counts_stream(stream), path, ckpt, "append_" + staged.root[-12:]))
+    staged.feed(batches, lambda stream: sinks.append_parquet(_counts_stream(stream), path, ckpt, "append_" + staged.root[-12:]))
     return spark.read.parquet(path)
 
 
 def _upserted(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """A change-log table with the counts of the whole log."""
+    """A keyed table with the counts of the whole log, in buckets by day."""
     staged, batches = _in_order(spark, sf_dir, name)
-    sink = sinks.ChangelogUpsert(staged.path("table"))
-    for b in batches:
-        staged.append(b)
-    staged.run(lambda stream: sink.writer(_counts_stream(stream), staged.path("ckpt"), f"{name}_{staged.root[-12:]}"))
+    sink = keyed.KeyedTable(staged.path("table"), COUNTS_KEY, keyed.daily("window_start"), compact_every=STAGES)
+    staged.feed(batches, lambda stream: sink.writer(_counts_stream(stream), staged.path("ckpt"), f"{name}_{staged.root[-12:]}"))
     return staged.path("table")
 
 
 def window_counts_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Update-mode counts into the replay-safe change log; latest view."""
-    return sinks.latest_view(spark, _upserted(spark, sf_dir, "upsert"), COUNTS_KEY)
+    """Update-mode counts into the replay-safe keyed table, read with its open deltas."""
+    return keyed.view(spark, _upserted(spark, sf_dir, "upsert"), COUNTS_KEY)
 
 
 def upsert_table_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keyed result table as a reader sees it after a compaction, ordered by window, text."""
     table = _upserted(spark, sf_dir, "table-read")
-    sinks.compact(spark, table, COUNTS_KEY, table + "-compacted")
-    return sinks.latest_view(spark, table + "-compacted", COUNTS_KEY).orderBy("window_start", "text")
+    keyed.compact(spark, table, COUNTS_KEY)
+    return keyed.view(spark, table, COUNTS_KEY).orderBy("window_start", "text")
 
 
 def late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,20 +138,17 @@ def late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resume_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append-mode counts from two runs of the same query: the second run
-    resumes from the first run's checkpoint at the next offset."""
+    """Append-mode counts from runs of the same query: each run but the first
+    resumes from the checkpoint of the one before at the next offset."""
     staged, batches = _in_order(spark, sf_dir, "resume")
     path, ckpt = staged.path("out"), staged.path("ckpt")
 
     def build(stream):
         return sinks.append_parquet(_counts_stream(stream), path, ckpt, "resume_" + staged.root[-12:])
 
-    for half in (batches[:STAGES // 2], batches[STAGES // 2:]):
-        for b in half:
-            staged.append(b)
-        staged.run(build)
-    if len(staged.batches) == 2 and staged.batches[1] <= staged.batches[0]:
-        raise RuntimeError("resume_from_checkpoint: second run did not continue the batch ids")
+    staged.feed(batches, build)
+    if any(later <= earlier for earlier, later in zip(staged.batches, staged.batches[1:], strict=False)):
+        raise RuntimeError("resume_from_checkpoint: a run did not continue the batch ids")
     return spark.read.parquet(path)
 
 
@@ -191,12 +181,64 @@ def dead_letter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     micro-batch; the dead letters of the table it wrote, decoded."""
     staged, batches = _in_order(spark, sf_dir, "router")
     table = staged.path("routed")
-    for b in batches:
-        staged.append(b)
-    staged.run(lambda stream: DeadLetterRouter(table, RULES).writer(stream, staged.path("ckpt"), "router_" + staged.root[-12:]))
+    staged.feed(batches, lambda stream: DeadLetterRouter(table, RULES).writer(stream, staged.path("ckpt"), "router_" + staged.root[-12:]))
     return dead_letter_fields(router.dead_letters(spark, table), fixtures.HEADER)
 
 
+def dedupe_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of a log with resends, each id once within the delay; state in RocksDB."""
+    staged = StagedLog(state_session(spark), "dedupe")
+    path, ckpt = staged.path("out"), staged.path("ckpt")
+
+    def build(stream):
+        first = dedupe(decode_messages(stream), WATERMARK).select("id", "text", "createdAt")
+        return sinks.append_parquet(first, path, ckpt, "dedupe_" + staged.root[-12:])
+
+    staged.feed(fixtures.batches_with_resends(fixtures.log_records(spark, sf_dir, keep_event_id=True), STAGES), build)
+    return spark.read.parquet(path)
+
+
+def open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the append-mode sink doesn't show yet: the windows in the query's state after the last batch."""
+    session = state_session(spark)
+    staged = StagedLog(session, "open-windows")
+    path, ckpt = staged.path("out"), staged.path("ckpt")
+    staged.feed(fixtures.staged_batches(fixtures.log_records(spark, sf_dir, keep_event_id=True), STAGES),
+                lambda stream: sinks.append_parquet(_counts_stream(stream), path, ckpt, "open_" + staged.root[-12:]))
+    return state.open_windows(session, ckpt)
+
+
+def log_offset_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole log read in three consecutive offset ranges, whose bounds differ by partition."""
+    path = f"{new_run_dir(spark, 'offsets')}/log"
+    write_log(fixtures.log_records(spark, sf_dir), path=path, by_offset=True)
+    bounds = fixtures.offset_bounds(spark, sf_dir)
+    out = None
+    for k, (start, end) in enumerate(zip(["earliest", *bounds], [*bounds, "latest"], strict=True)):
+        log = read_log(spark, {"startingOffsets": start, "endingOffsets": end}, path=path, streaming=False)
+        part = decode_messages(log, observe=None).select(F.lit(k).alias("slice"), "id", "text", "createdAt", "partition", "offset")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log read once for three targets (processed messages, hourly counts of each batch,
+    dead letters); what each of them holds, by hour."""
+    staged, batches = _in_order(spark, sf_dir, "fan-out")
+    root = staged.path("targets")
+    branches = [Branch("messages", processed), Branch("counts", lambda routed: windowed_counts(processed(routed), WINDOW)),
+                Branch("dead_letters", dead_letters)]
+    staged.feed(batches, lambda stream: FanOut(root, lambda log: route(log, RULES), branches).writer(
+        stream, staged.path("ckpt"), "fan_out_" + staged.root[-12:]))
+    messages, counts, letters = (fan_out_table(spark, root, b.name) for b in branches)
+    hour = F.date_trunc("hour", "createdAt")
+    held = [("messages", messages.groupBy(hour.alias("hour"), F.col("text").alias("what")).agg(F.count("*").alias("n"))),
+            ("counts", counts.groupBy(F.col("window_start").alias("hour"), F.col("text").alias("what")).agg(F.sum("count").alias("n"))),
+            ("dead_letters", dead_letter_fields(letters).groupBy(F.date_trunc("hour", "original_timestamp").alias("hour"),
+                                                                 F.col("exception_message").alias("what")).agg(F.count("*").alias("n")))]
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("target"), "hour", "what", "n") for name, df in held])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_counts_batch": window_counts_batch,
     "decode_permissive": decode_permissive,
@@ -213,4 +255,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dead_letter_table": dead_letter_table,
     "dead_letter_inspect": dead_letter_inspect,
     "dead_letter_stream": dead_letter_stream,
+    "dedupe_by_id": dedupe_by_id,
+    "open_windows": open_windows,
+    "log_offset_range": log_offset_range,
+    "fan_out": fan_out,
 }

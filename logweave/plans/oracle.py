@@ -152,3 +152,31 @@ SQL: dict[str, str] = {
 """,
 }
 SQL["dead_letter_stream"] = SQL["dead_letter_table"]
+
+# Resends (see sources/fixtures.py): a copy in the same batch is always dropped; one in the next batch
+# is dropped while its first copy's state lives, and a row at or before the watermark in any case.
+_ARRIVED = f"""
+  WITH m AS (SELECT * FROM ({_staged(4)}) s WHERE NOT poison),
+  sent AS (SELECT *, createdAt AS sent_at, rb AS in_batch, FALSE AS again FROM m
+    UNION ALL SELECT *, createdAt + INTERVAL 7 DAY, rb + 1, TRUE FROM m WHERE event_id % 5 = 0 AND event_id % 7 <> 0 AND rb < 3),
+  clock AS (SELECT createdAt AS t, rb AS b FROM m UNION ALL SELECT createdAt + INTERVAL 30 MINUTE, rb FROM m WHERE event_id % 7 = 0
+    UNION ALL SELECT sent_at, in_batch FROM sent WHERE again),
+  wm AS (SELECT b, max(max(t)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 2 HOUR AS wm FROM clock GROUP BY b)
+"""
+SQL["dedupe_by_id"] = _ARRIVED + """
+  SELECT id, text, createdAt FROM sent JOIN wm ON b = in_batch
+  WHERE (wm IS NULL OR sent_at > wm) AND (NOT again OR createdAt + INTERVAL 2 HOUR <= wm)
+"""
+SQL["open_windows"] = f"SELECT * FROM ({_hour_counts()}) c WHERE window_end > {_FINAL_WATERMARK}"
+SQL["log_offset_range"] = f"""
+  SELECT CASE WHEN event_id < lo + (partition + 1) * span // 10 THEN 0 WHEN event_id < lo + (partition + 6) * span // 10 THEN 1 ELSE 2 END AS slice,
+         id, text, createdAt, partition, event_id AS "offset"
+  FROM ({MESSAGES}) m, (SELECT min(event_id) AS lo, max(event_id) - min(event_id) + 1 AS span FROM events) bounds WHERE NOT poison
+"""
+SQL["fan_out"] = f"""
+  WITH r AS (SELECT *, date_trunc('hour', createdAt) AS hour FROM ({_ROUTED}) x),
+  ok AS (SELECT hour, text AS what, CAST(count(*) AS BIGINT) AS n FROM r WHERE NOT poison AND broken IS NULL GROUP BY ALL)
+  SELECT 'messages' AS target, * FROM ok UNION ALL SELECT 'counts', * FROM ok
+  UNION ALL SELECT 'dead_letters', hour, coalesce(broken, 'value is not a framed message'), CAST(count(*) AS BIGINT)
+  FROM r WHERE poison OR broken IS NOT NULL GROUP BY ALL
+"""

@@ -9,6 +9,8 @@ the first matching rule below wins.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,3 +129,36 @@ def staged_batches(records: DataFrame, n_batches: int, late_mod: int | None = No
             part = part & (e >= edges[max(0, k - 1)]) & (e < edges[k + 1])
         out.append(records.filter(part).drop("event_id"))
     return out
+
+
+#: Resends: which events are sent again at once, and which one batch later; how much later by the log's clock.
+AGAIN_MOD, LATER_MOD = 7, 5
+AGAIN_AFTER, LATER_AFTER = "INTERVAL 30 MINUTES", "INTERVAL 7 DAYS"
+#: Offsets of resent records lie this much behind their first copy's.
+RESENT_OFFSETS = 1 << 40
+
+
+def batches_with_resends(records: DataFrame, n_batches: int) -> list[DataFrame]:
+    """``staged_batches`` in which some records are sent twice: the same value, a later timestamp.
+
+    Records with event_id % 7 = 0 come again in their own batch, others with
+    event_id % 5 = 0 in the next one."""
+    first = staged_batches(records, n_batches)
+    at_once = (F.col("offset") % AGAIN_MOD) == 0
+    later = ((F.col("offset") % LATER_MOD) == 0) & ~at_once
+
+    def again(batch: DataFrame, which: Column, after: str, shift: int) -> DataFrame:
+        return batch.where(which).withColumns({"timestamp": F.col("timestamp") + F.expr(after), "offset": F.col("offset") + shift})
+
+    out = []
+    for k, batch in enumerate(first):
+        sent = batch.unionByName(again(batch, at_once, AGAIN_AFTER, RESENT_OFFSETS))
+        out.append(sent.unionByName(again(first[k - 1], later, LATER_AFTER, 2 * RESENT_OFFSETS)) if k else sent)
+    return out
+
+
+def offset_bounds(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Two bounds of offsets, as JSON: partition p's lie at (p + 1) and (p + 6) tenths of all offsets."""
+    lo, hi = read_table(spark, sf_dir, "events").agg(F.min("event_id"), F.max("event_id")).first()
+    lo, span = (lo, hi - lo + 1) if lo is not None else (0, 0)
+    return [json.dumps({TOPIC: {str(p): lo + (p + tenths) * span // 10 for p in range(PARTITIONS)}}) for tenths in (1, 6)]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LOG_SCHEMA
@@ -48,6 +50,58 @@ def admission(config: dict[str, str]) -> dict[str, str]:
     return {k: str(config[k]) for k in ADMISSION if k in config} or {"maxFilesPerTrigger": MAX_FILES_PER_TRIGGER}
 
 
+# Offsets that stand for a partition's first and next record.
+EARLIEST, LATEST = -2, -1
+
+
+def _bounds(text: str, what: str) -> dict[tuple[str, int], int]:
+    """(topic, partition) -> offset of a JSON text such as {"messages": {"0": 23, "1": -2}}."""
+    try:
+        return {(topic, int(p)): int(offset) for topic, parts in json.loads(text).items() for p, offset in parts.items()}
+    except (ValueError, AttributeError, TypeError) as e:
+        raise ValueError(f"{what} is neither earliest, latest nor JSON of offsets by topic and partition: {text}") from e
+
+
+def offset_range(config: dict[str, str], streaming: bool = False) -> Column | None:
+    """The records of a log table between ``startingOffsets`` and ``endingOffsets`` (which isn't
+    part of it), in the form that Spark's Kafka source takes; None if nothing is left out.
+
+    Partitions that aren't named aren't bounded. The condition has one term for each
+    range, over plain columns, so it reaches the Parquet scan; in a table laid out by
+    partition and offset most row groups are never read.
+    """
+    start, end = config.get("startingOffsets", "earliest"), config.get("endingOffsets", "latest")
+    if streaming and "endingOffsets" in config:
+        raise ValueError("a stream has no endingOffsets")
+    if start == "latest" and streaming:
+        raise ValueError("a log table has no latest offset to start a stream from; name the offsets")
+    if start == "latest" or end == "earliest":
+        return F.lit(False)
+    low = {} if start == "earliest" else _bounds(start, "startingOffsets")
+    high = {} if end == "latest" else _bounds(end, "endingOffsets")
+    ranges: dict[tuple[str, int | None, int | None], list[int]] = {}
+    for topic, part in sorted(low.keys() | high.keys()):
+        a, b = low.get((topic, part), EARLIEST), high.get((topic, part), LATEST)
+        if a == LATEST and streaming:
+            raise ValueError("a log table has no latest offset to start a stream from; name the offsets")
+        if a == LATEST or b == EARLIEST:
+            a, b = 0, 0
+        ranges.setdefault((topic, None if a == EARLIEST else a, None if b == LATEST else b), []).append(part)
+    if not ranges:
+        return None
+    topic, part, offset = F.col("topic"), F.col("partition"), F.col("offset")
+    named: dict[str, list[int]] = {}
+    inside = F.lit(False)
+    for (t, a, b), parts in ranges.items():
+        named.setdefault(t, []).extend(parts)
+        term = (topic == t) & part.isin(parts)
+        term = term if a is None else term & (offset >= a)
+        inside = inside | (term if b is None else term & (offset < b))
+    for t, parts in named.items():
+        inside = inside | ((topic == t) & ~part.isin(parts))
+    return inside | ~topic.isin(list(named))
+
+
 def read_log(
     spark: SparkSession,
     config: dict[str, str] | None = None,
@@ -57,7 +111,8 @@ def read_log(
     """Kafka-shaped records: from Kafka when ``config`` names brokers and a
     topic, else from the Parquet log table at ``path``.  Every micro-batch of
     a stream is bounded: ``maxOffsetsPerTrigger`` for Kafka (as configured),
-    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` for a log table."""
+    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` for a log table.
+    ``startingOffsets`` and, for a batch read, ``endingOffsets`` hold for both."""
     config = config or {}
     if "bootstrap.servers" in config or "kafka.bootstrap.servers" in config:
         opts = {
@@ -66,26 +121,33 @@ def read_log(
             "startingOffsets": "earliest",
             "includeHeaders": "true",
             **{k: config[k] for k in SOURCE_OPTIONS if k in config},
+            **({"endingOffsets": config["endingOffsets"]} if "endingOffsets" in config and not streaming else {}),
             **kafka_options(config),
         }
         reader = spark.readStream if streaming else spark.read
         return reader.format("kafka").options(**opts).load()
     if path is None:
         raise ValueError("read_log needs Kafka settings or a log table path")
-    if not streaming:
-        return spark.read.schema(LOG_SCHEMA).parquet(path)
-    return spark.readStream.schema(LOG_SCHEMA).options(**admission(config)).parquet(path)
+    wanted = offset_range(config, streaming)
+    if streaming:
+        log = spark.readStream.schema(LOG_SCHEMA).options(**admission(config)).parquet(path)
+    else:
+        log = spark.read.schema(LOG_SCHEMA).parquet(path)
+    return log if wanted is None else log.where(wanted)
 
 
 def write_log(
     records: DataFrame,
     config: dict[str, str] | None = None,
     path: str | None = None,
+    by_offset: bool = False,
 ) -> None:
     """Publish Kafka-shaped records (value [, key, partition, headers]):
     to Kafka with the producer options derived from ``config`` when it names
     brokers, else appended to the Parquet log table at ``path``.  Values are
-    written as given, so raw (non-Avro) bytes go out unencoded."""
+    written as given, so raw (non-Avro) bytes go out unencoded.  With
+    ``by_offset`` the table's new files are ranges of (topic, partition, offset),
+    each sorted, so that a read between offsets skips files and row groups."""
     config = config or {}
     if "bootstrap.servers" in config or "kafka.bootstrap.servers" in config:
         opts = producer_options(config)
@@ -103,4 +165,8 @@ def write_log(
     for f in LOG_SCHEMA.fields:
         if f.name not in full.columns:
             full = full.withColumn(f.name, F.lit(None).cast(f.dataType))
-    full.select(*LOG_SCHEMA.names).write.mode("append").parquet(path)
+    full = full.select(*LOG_SCHEMA.names)
+    if by_offset:
+        place = ("topic", "partition", "offset")
+        full = full.repartitionByRange(*place).sortWithinPartitions(*place)
+    full.write.mode("append").parquet(path)

@@ -7,6 +7,7 @@
   overwrite, so a replayed batch replaces itself (at-least-once delivery
   becomes an idempotent table).  ``latest_view`` reads the table back as one
   row per key: the values from the highest batch that wrote the key.
+  ``keyed.KeyedTable`` is the same with buckets that are compacted one by one.
 * ``JdbcUpsert``: the same batches into a database table through a staging
   table of the batch's own and one upsert per batch (needs a reachable database;
   not exercised in this repository's tests, which start no database).
@@ -90,18 +91,21 @@ class ChangelogUpsert:
         try:
             if kept.isEmpty():
                 return
-            (
-                kept.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(BATCH_COL)
-                .parquet(self.table)
-            )
+            self.write(kept, batch_id)
             if self.on_written is not None:
                 self.on_written(kept, batch_id)
         finally:
             kept.unpersist()
 
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        (
+            rows.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH_COL)
+            .parquet(self.table)
+        )
+
     def writer(self, stream: DataFrame, checkpoint: str, name: str) -> DataStreamWriter:
         self.checkpoint = checkpoint
         return (
