@@ -13,6 +13,7 @@ schema (no schema evolution).  Nothing here throws under ANSI mode.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,20 +82,35 @@ def frame_schema_id(value: Column) -> Column:
     return F.when(frame_ok(value), F.conv(F.hex(value.substr(F.lit(2), F.lit(4))), 16, 10).cast("int"))
 
 
-def check_message_schema(schema: str) -> None:
-    """The scanner reads one layout: a record of the string fields id and text
-    and the timestamp-millis field createdAt.  Any other schema is refused here;
-    read with it, every record would look undecodable and be dropped."""
+def written_with(value: Column, ids: Iterable[int]) -> Column:
+    """Does the frame name one of these writer schemas?"""
+    return frame_ok(value) & value.substr(F.lit(2), F.lit(4)).isin([F.lit(i.to_bytes(4, "big", signed=True)) for i in sorted(ids)])
+
+
+def is_message_schema(schema: str) -> bool:
+    """Is it a record of the string fields id and text and the timestamp-millis field createdAt?"""
     got = json.loads(schema)
     fields = [(f.get("name"), f.get("type")) for f in got.get("fields", [])] if isinstance(got, dict) and got.get("type") == "record" else None
-    if fields != [(f["name"], f["type"]) for f in json.loads(MESSAGE_AVRO_SCHEMA)["fields"]]:
+    return fields == [(f["name"], f["type"]) for f in json.loads(MESSAGE_AVRO_SCHEMA)["fields"]]
+
+
+def check_message_schema(schema: str) -> None:
+    """The scanner reads one layout.  Any other schema is refused here; read
+    with it, every record would look undecodable and be dropped."""
+    if not is_message_schema(schema):
         raise ValueError(f"only records of id, text and createdAt can be read without Spark's Avro package; the schema is {schema}")
 
 
 def decode_frames(df: DataFrame, value_col: str = "value", out: str = "record",
-                  schema: str = MESSAGE_AVRO_SCHEMA, avro_package: bool = False) -> DataFrame:
+                  schema: str = MESSAGE_AVRO_SCHEMA, avro_package: bool = False,
+                  schemas: dict[int, str] | None = None) -> DataFrame:
     """Add struct column ``out`` decoded from ``value_col`` with the given writer schema.
 
+    With ``schemas`` (id to schema, see ``sources.catalog.schemas_by_id``) each record is
+    read with the schema whose id its frame names, and records with any other id are
+    undecodable.  Their message fields (id, text, createdAt) become the record; without
+    the Avro package, ids whose schema is another layout are undecodable too.
+
     With ``avro_package`` (Spark's spark-avro is deployed) the body goes through
     ``from_avro`` in PERMISSIVE mode and may have any schema.  Otherwise the
     vectorised scanner in ``framescan`` finds the fields of the message record,
@@ -109,13 +125,22 @@ def decode_frames(df: DataFrame, value_col: str = "value", out: str = "record",
     if avro_package:
         from pyspark.sql.avro.functions import from_avro
 
+        if schemas is not None:
+            return df.select(*cols, _by_id(v, schemas).alias(out))
         body = F.when(frame_ok(v), frame_body(v))
         return df.select(*cols, from_avro(body, schema, {"mode": "PERMISSIVE"}).alias(out))
     from .framescan import scan_frames
 
-    check_message_schema(schema)
+    if schemas is None:
+        check_message_schema(schema)
+        readable = v
+    else:
+        known = [i for i, text in schemas.items() if is_message_schema(text)]
+        if not known:
+            raise ValueError(f"none of the schemas {sorted(schemas)} can be read without Spark's Avro package")
+        readable = F.when(written_with(v, known), v)
     scan = "__lw_scan"
-    s = df.select(*cols, scan_frames(v).alias(scan))
+    s = df.select(*cols, scan_frames(readable).alias(scan))
     record = F.when(
         F.col(scan).isNotNull(),
         F.struct(
@@ -125,3 +150,18 @@ def decode_frames(df: DataFrame, value_col: str = "value", out: str = "record",
         ),
     )
     return s.select(*cols, record.alias(out))
+
+
+def _by_id(value: Column, schemas: dict[int, str]) -> Column:
+    """The message fields of a record, read with the schema that its frame names."""
+    from pyspark.sql.avro.functions import from_avro
+
+    types = {f["name"]: t for f, t in zip(json.loads(MESSAGE_AVRO_SCHEMA)["fields"], ("string", "string", "timestamp"), strict=True)}
+    record = F.lit(None)
+    for i, schema in sorted(schemas.items()):
+        mine = written_with(value, [i])
+        got = from_avro(F.when(mine, frame_body(value)), schema, {"mode": "PERMISSIVE"})
+        has = {f["name"] for f in json.loads(schema)["fields"]}
+        fields = [(got[n] if n in has else F.lit(None)).cast(t).alias(n) for n, t in types.items()]
+        record = F.when(mine, F.struct(*fields)).otherwise(record)
+    return record

@@ -19,12 +19,14 @@ def decoded(record: str = "record") -> Column:
 
 
 def decode_messages(log: DataFrame, observe: str | Observation | None = DECODE_METRICS,
-                    schema: str = MESSAGE_AVRO_SCHEMA, avro_package: bool = False) -> DataFrame:
+                    schema: str = MESSAGE_AVRO_SCHEMA, avro_package: bool = False,
+                    schemas: dict[int, str] | None = None) -> DataFrame:
     """Drop and count undecodable records; keep id, text, createdAt plus the
     log position columns.  ``schema`` is the writer schema's text (see
-    ``sources.catalog.latest_schema``).  Counts are taken before the filter:
+    ``sources.catalog.latest_schema``); with ``schemas`` each record is read with
+    the one that its frame names, and others are skipped.  Counts are taken before the filter:
     ``received`` = all records, ``skipped`` = dropped ones."""
-    rec = decode_frames(log, "value", "record", schema, avro_package)
+    rec = decode_frames(log, "value", "record", schema, avro_package, schemas)
     # Always observed: besides the counts, CollectMetrics is the barrier
     # that keeps the filter below from being pushed into (and inlining) the
     # staged decode projections, or below a repartition of the input.

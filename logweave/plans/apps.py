@@ -30,7 +30,7 @@ from ..operators.decode import DECODE_METRICS, decode_messages
 from ..operators.windows import windowed_counts
 from ..schemas import COUNTS_KEY, MESSAGE_AVRO_SCHEMA
 from ..session import require_utc
-from ..sources.catalog import latest_schema, value_subject
+from ..sources.catalog import latest_schema, schemas_by_id, value_subject
 from ..sources.log import read_log
 from ..streaming import keyed, metrics, sinks
 from ..streaming.router import DeadLetterRouter
@@ -55,6 +55,13 @@ def registered_schema(spark: SparkSession, config: dict[str, str], topic: str |
     return int(config.get("schema.id", "1")), MESSAGE_AVRO_SCHEMA
 
 
+def writer_schemas(spark: SparkSession, config: dict[str, str]) -> dict[int, str] | None:
+    """The topic's schemas by id when a catalog is configured: each record is read with its own."""
+    if "schema.catalog.path" not in config:
+        return None
+    return schemas_by_id(spark.read.parquet(config["schema.catalog.path"]), value_subject(config["topic"]))
+
+
 def avro_package(config: dict[str, str]) -> bool:
     return config.get("avro.package", "false").lower() == "true"
 
@@ -65,7 +72,8 @@ def decoded_stream(spark: SparkSession, config: dict[str, str]) -> DataFrame:
     require_utc(spark)
     metrics.report_skips(spark)
     return decode_messages(read_log(spark, config, path=config.get("log.path")), observe=DECODE_METRICS,
-                           schema=registered_schema(spark, config)[1], avro_package=avro_package(config))
+                           schema=registered_schema(spark, config)[1], avro_package=avro_package(config),
+                           schemas=writer_schemas(spark, config))
 
 
 def windowed(decoded: DataFrame, config: dict[str, str]) -> DataFrame:
@@ -131,7 +139,7 @@ def start_dead_letter_route(spark: SparkSession, config: dict[str, str], rules:
     topic = config.get("dead.letter.topic")
     schema_id, schema = registered_schema(spark, config)
     cfg = DeadLetterConfig(topic=topic or f"{config.get('topic', 'messages')}-dlt", schema_id=schema_id,
-                           schema=schema, avro_package=avro_package(config))
+                           schema=schema, avro_package=avro_package(config), schemas=writer_schemas(spark, config))
     router = DeadLetterRouter(config["router.table.path"], rules, cfg, publish=config if topic else None)
     log = read_log(spark, config, path=config.get("log.path"))
     return _trigger(router.writer(log, config["router.checkpoint.location"], "log_dead_letters"), config).start()
@@ -146,12 +154,13 @@ def start_dead_letter_inspect(spark: SparkSession, config: dict[str, str]) -> St
     """Dead letters, from their topic or log table, printed in typed columns as they arrive."""
     require_utc(spark)
     dlt = read_log(spark, dead_letter_log(config), path=config.get("dead.letter.path"))
-    rows = inspect(dlt, registered_schema(spark, config)[1], avro_package(config))
+    rows = inspect(dlt, registered_schema(spark, config)[1], avro_package(config), writer_schemas(spark, config))
     return _trigger(sinks.console(rows, config["dead.letter.checkpoint.location"], "dead_letter_inspect"), config).start()
 
 
 def inspect_parquet(spark: SparkSession, path: str, n: int = 100) -> DataFrame:
-    """First ``n`` window counts of the Parquet output, by window and text."""
+    """First ``n`` window counts of the Parquet output, by window and text (a top-n over the whole
+    output; ``clustered.first_rows`` reads only the first files of a clustered copy)."""
     return spark.read.parquet(path).orderBy("window_start", "text").limit(n)
 
 

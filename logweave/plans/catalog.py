@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode_frames, encode_frames
-from ..operators.deadletter import Rule, dead_letter_fields, dead_letters, inspect, processed, route
+from ..operators.deadletter import DeadLetterConfig, Rule, dead_letter_fields, dead_letters, inspect, processed, route
 from ..operators.decode import decode_messages
 from ..operators.dedupe import dedupe
 from ..operators.windows import windowed_counts
@@ -19,7 +19,7 @@ from ..schemas import COUNTS_KEY
 from ..session import new_run_dir, require_utc
 from ..sources import fixtures
 from ..sources.log import read_log, write_log
-from ..streaming import keyed, router, sinks, state
+from ..streaming import clustered, keyed, metrics, router, sinks, state
 from ..streaming.batches import BatchTable, Branch, FanOut, Measured, MetricsTable, fan_out_table
 from ..streaming.router import DeadLetterRouter
 from ..streaming.runner import StagedLog
@@ -30,6 +30,7 @@ from ..streaming.state import state_session
 WINDOW = "1 hour"
 WATERMARK = "2 hours"
 STAGES = 4          # ranges of the in-order streaming queries, a run each
+INSPECT_ROWS = 1000  # rows of a file of the clustered counts
 METRIC_STAGES = 3   # event_id ranges of the decode metrics
 LATE_STAGES = 4     # staged batches for the late-data query
 LATE_MOD = 13       # event_id % 13 = 0 arrives one batch late
@@ -153,8 +154,25 @@ def resume_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parquet_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First 100 rows of the append-mode output ordered by window_start, text."""
-    return window_counts_append(spark, sf_dir).orderBy("window_start", "text").limit(100)
+    """First 100 rows of the append-mode output by window_start, text, clustered by these: read from its first files."""
+    path = f"{new_run_dir(spark, 'inspect')}/counts"
+    clustered.write_clustered(window_counts_append(spark, sf_dir), ("window_start", "text"), path, INSPECT_ROWS)
+    return clustered.first_rows(spark, path, ("window_start", "text"), 100)
+
+
+def watermark_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event time by batch, from the query's own progress: the greatest so far unseen, and the watermark that held."""
+    seen = metrics.event_times(spark)
+    staged = StagedLog(spark, "progress")
+    sink = sinks.ChangelogUpsert(staged.path("table"))
+    rows = []
+    records = fixtures.log_records(spark, sf_dir, keep_event_id=True)
+    for batch in fixtures.staged_batches(records, LATE_STAGES, LATE_MOD):
+        staged.append(batch)
+        run = staged.run(lambda stream: sink.writer(_counts_stream(stream), staged.path("ckpt"), "progress_" + staged.root[-12:]))
+        rows += [r for r in seen.of(run.runId) if r[1]]  # without the batches that only move the watermark
+    frame = spark.createDataFrame([(k, *r[2:4]) for k, r in enumerate(rows)], "batch int, max_event_time timestamp, watermark timestamp")
+    return frame
 
 
 def processed_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +190,8 @@ def dead_letter_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters published to a dead-letter log table, read back as raw
     records with headers (no decode on read), and inspected one by one."""
     dlt_path = f"{new_run_dir(spark, 'dlt')}/log"
-    write_log(dead_letters(route(fixtures.log_records(spark, sf_dir), RULES)), path=dlt_path)
+    config = DeadLetterConfig(listener="messages.on_message")  # its messages come wrapped; inspect unwraps them
+    write_log(dead_letters(route(fixtures.log_records(spark, sf_dir), RULES, config), config), path=dlt_path)
     return inspect(read_log(spark, path=dlt_path, streaming=False))
 
 
@@ -259,4 +278,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "open_windows": open_windows,
     "log_offset_range": log_offset_range,
     "fan_out": fan_out,
+    "watermark_progress": watermark_progress,
 }

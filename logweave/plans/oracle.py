@@ -180,3 +180,6 @@ SQL["fan_out"] = f"""
   UNION ALL SELECT 'dead_letters', hour, coalesce(broken, 'value is not a framed message'), CAST(count(*) AS BIGINT)
   FROM r WHERE poison OR broken IS NOT NULL GROUP BY ALL
 """
+SQL["watermark_progress"] = _LATE + """
+  SELECT mx.arrival AS batch, mx.mx AS max_event_time, wm.wm AS watermark FROM mx JOIN wm USING (arrival)
+"""

@@ -28,3 +28,11 @@ def latest_schema(catalog: DataFrame, subject: str) -> tuple[int, str]:
     if row is None:
         raise LookupError(f"no schema registered for subject {subject!r}")
     return row["id"], row["schema"]
+
+
+def schemas_by_id(catalog: DataFrame, subject: str) -> dict[int, str]:
+    """id -> schema of all of a subject's versions: a few, whatever the log's size."""
+    rows = catalog.filter(F.col("subject") == subject).select("id", "schema").distinct().collect()
+    if not rows:
+        raise LookupError(f"no schema registered for subject {subject!r}")
+    return {r["id"]: r["schema"] for r in rows}

@@ -2,15 +2,15 @@
 
 ::
 
-    deltas/batch_id=N/bucket=B/      rows that batch N changed
-    base/generation=G/bucket=B/      bucket B after batch G, one row a key
-    commits/generation=G/            the buckets that compaction G wrote
+    deltas/after=G/batch_id=N/bucket=B/   rows that batch N changed, after compaction G
+    base/generation=G/bucket=B/           bucket B after batch G, one row a key
+    commits/generation=G/                 the buckets that compaction G wrote
 
 A bucket is a function of the key. A compaction folds the deltas since the last
 one into the buckets that they touch and leaves every other bucket's files alone;
 its commit record, written last, makes it visible. So a bucket's rows come from its
 newest generation and from the deltas since: at most ``compact_every`` of them,
-each with the bucket's rows in one task's files. Buckets that no open delta
+each with the bucket's rows in one task's files, and no older delta is even listed. Buckets that no open delta
 touches are read as they are, without a shuffle.
 
 A repeated batch replaces its own delta, a repeated compaction its own generation:
@@ -55,10 +55,10 @@ class KeyedTable(ChangelogUpsert):
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
+        newest = current(spark, self.table)[0]
         dealt = rows.withColumn(BUCKET, self.bucket).withColumn(BATCH_COL, F.lit(batch_id).cast("long")).repartition(BUCKET)
         (dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COL, BUCKET).parquet(f"{self.table}/deltas"))
-        newest, _ = current(spark, self.table)
+         .partitionBy(BATCH_COL, BUCKET).parquet(f"{self.table}/deltas/after={newest}"))
         if batch_id - newest >= self.compact_every:
             compact(spark, self.table, self.key)
 
@@ -73,7 +73,7 @@ def current(spark: SparkSession, table: str) -> tuple[int, dict[str, int]]:
 
 
 def _deltas(spark: SparkSession, table: str, after: int) -> DataFrame | None:
-    rows = read_or_none(spark, f"{table}/deltas")
+    rows = read_or_none(spark, f"{table}/deltas/after={after}")
     return None if rows is None else rows.withColumn(BATCH_COL, F.col(BATCH_COL).cast("long")).where(F.col(BATCH_COL) > after)
 
 
@@ -114,7 +114,9 @@ def view(spark: SparkSession, table: str, key: Sequence[str]) -> DataFrame:
 
 
 def compact(spark: SparkSession, table: str, key: Sequence[str]) -> int:
-    """Fold all open deltas into the buckets that they touch; the number of buckets written."""
+    """Fold all open deltas into the buckets that they touch; the number of buckets written.
+
+    For the table's own query, between two batches, or while that is stopped."""
     newest, generations = current(spark, table)
     deltas = _deltas(spark, table, newest)
     touched = _touched(deltas)
@@ -137,5 +139,5 @@ def obsolete(spark: SparkSession, table: str) -> list[str]:
         return []
     old = [f"{table}/base/{GENERATION}={r[GENERATION]}/{BUCKET}={r[BUCKET]}"
            for r in commits.select(GENERATION, BUCKET).collect() if r[GENERATION] < generations[r[BUCKET]]]
-    folded = spark.read.parquet(f"{table}/deltas").where(F.col(BATCH_COL) <= newest).select(BATCH_COL).distinct().collect()
-    return sorted(old) + sorted(f"{table}/deltas/{BATCH_COL}={r[BATCH_COL]}" for r in folded)
+    folded = spark.read.parquet(f"{table}/deltas").select("after").where(F.col("after") < newest).distinct().collect()
+    return sorted(old) + sorted(f"{table}/deltas/after={r['after']}" for r in folded)

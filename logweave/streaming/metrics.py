@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import threading
 import weakref
@@ -75,6 +76,49 @@ class RunTotals(_Quiet):
             return self._sums.pop(str(run_id), {}), self._batches.pop(str(run_id), 0)
 
 
+class EventTimes(_Quiet):
+    """How event time went on in each run: the greatest event time of every micro-batch,
+    the watermark that held in it, and the rows that its stateful operators dropped as too
+    late (after partial aggregation, so a row here may stand for several records)."""
+
+    def __init__(self):
+        self._rows: dict[str, dict[int, tuple]] = {}
+        self._ended: set[str] = set()
+        self._change = threading.Condition()
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        seen = p.eventTime or {}
+        if "watermark" not in seen:
+            return
+        dropped = sum(o.numRowsDroppedByWatermark for o in p.stateOperators)
+        with self._change:
+            self._rows.setdefault(str(p.runId), {})[p.batchId] = (
+                p.batchId, p.numInputRows, _instant(seen.get("max")), _instant(seen["watermark"]), dropped)
+
+    def onQueryTerminated(self, event):
+        with self._change:
+            self._ended.add(str(event.runId))
+            self._change.notify_all()
+
+    def of(self, run_id: str, timeout: float = 60) -> list[tuple]:
+        """(batch id, input rows, greatest event time, watermark, dropped rows) of a run that has ended."""
+        with self._change:
+            if not self._change.wait_for(lambda: str(run_id) in self._ended, timeout):
+                raise TimeoutError(f"no end of run {run_id} seen")
+            self._ended.discard(str(run_id))
+            return [row for _, row in sorted(self._rows.pop(str(run_id), {}).items())]
+
+
+def _instant(text: str | None) -> dt.datetime | None:
+    """An instant of a progress update; None for the start of the epoch, where a watermark begins."""
+    at = None if text is None else dt.datetime.fromisoformat(text)
+    return None if at is None or at.timestamp() == 0 else at
+
+
+EVENT_TIMES_SCHEMA = "batch_id long, input_rows long, max_event_time timestamp, watermark timestamp, dropped_rows long"
+
+
 class SkipReporter(_Quiet):
     """Warns for every micro-batch that dropped undecodable records; ignores
     queries without the decode metrics.  Keeps two counts."""
@@ -115,3 +159,8 @@ def report_skips(spark: SparkSession) -> SkipReporter | None:
 def run_totals(spark: SparkSession) -> RunTotals:
     """The session's RunTotals listener."""
     return _once(spark, RunTotals, RunTotals)[0]
+
+
+def event_times(spark: SparkSession) -> EventTimes:
+    """The session's EventTimes listener."""
+    return _once(spark, EventTimes, EventTimes)[0]

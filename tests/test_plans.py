@@ -33,3 +33,27 @@ def test_staged_ranges_reach_the_scan(spark):
         plan = _plan(fixtures.staged_batches(records, 4, late)[2])
         scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
         assert "GreaterThanOrEqual(event_id" in scan and "LessThan(event_id" in scan
+
+
+def test_offset_ranges_reach_the_scan(spark):
+    from logweave.session import new_run_dir
+    from logweave.sources import fixtures
+    from logweave.sources.log import read_log, write_log
+
+    path = f"{new_run_dir(spark, 't-offset-plan')}/log"
+    write_log(fixtures.log_records(spark, SF_ORACLE), path=path, by_offset=True)
+    low, high = fixtures.offset_bounds(spark, SF_ORACLE)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")  # the whole filter in the plan's text
+    try:
+        plan = _plan(read_log(spark, {"startingOffsets": low, "endingOffsets": high}, path=path, streaming=False).select("offset"))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+    pushed = scan.split("PushedFilters: ")[1]
+    assert "GreaterThanOrEqual(offset" in pushed and "LessThan(offset" in pushed and "partition" in pushed
+
+
+def test_inspection_reads_only_the_first_files(spark):
+    first = C.parquet_inspect(spark, SF_ORACLE)
+    files = first.inputFiles()
+    assert files and len(files) < len(spark.read.parquet(files[0].rsplit("/", 1)[0]).inputFiles())
