@@ -1,6 +1,6 @@
 """Mixing sources to target weights: an exact word budget for each source.
 
-Every row gets a hash-random key (md5 of its id). Within its source the rows are
+Every row gets a hash-random key (md5 of its id and text). Within its source the rows are
 in key order, cut into key ranges of about ``RANGE_ROWS`` rows. Word sums of the
 ranges, summed up along each source, and sums within a range give every row's
 place on its source's word line. A source's budget is so many whole epochs of
@@ -12,8 +12,8 @@ again until none is above.
 
 Defined cases: null and empty texts have no words and take none; null is a
 source of its own, last in order; a table without words has targets of zero.
-Rows with one id are in order of their words; repeated rows are rows of their
-own. Rows without id share one key. Extra columns are kept by ``mixed``.
+Repeated rows are rows of their own; they share a key, and nothing tells them
+apart. Other rows have keys of their own, with or without an id. Extra columns are kept by ``mixed``.
 Nothing depends on the order of the input, so reruns agree.
 
 Everything is DataFrame operations; the driver only holds the water level. A
@@ -36,8 +36,9 @@ def words(column: Column) -> Column:
     return word_count(column).cast("long")
 
 
-def mix_key(id_column: Column) -> Column:
-    return F.md5(F.coalesce(id_column.cast("string"), F.lit("")))
+def mix_key(id_column: Column, text: Column) -> Column:
+    """A hash of id and text: rows without id, or of one id, spread over the ranges too."""
+    return F.md5(F.concat(F.coalesce(id_column.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text, F.lit("")))))
 
 
 def _range(key: Column, ranges: int) -> Column:
@@ -85,18 +86,19 @@ def plan(sized: DataFrame) -> tuple[DataFrame, int]:
 def _dealt(rows: DataFrame, starts: DataFrame, ranges: int, key: str, size: str, tie: list[str]) -> tuple[DataFrame, Column]:
     """Each row with its range's plan columns (as ``mix_plan``), and its place on the source's word line."""
     number, struct = free_name(rows, "mix_range"), free_name(rows, "mix_plan")
-    starts = starts.select(F.col("source").alias("plan_source"), F.col("range").alias("plan_range"), F.struct("base", "source_size", "target", "epochs", "rest").alias(struct))
+    its_source, its_range = free_name(rows, "plan_source"), free_name(rows, "plan_range")
+    starts = starts.select(F.col("source").alias(its_source), F.col("range").alias(its_range), F.struct("base", "source_size", "target", "epochs", "rest").alias(struct))
     line = Window.partitionBy("source", number).orderBy(key, *tie, size).rowsBetween(Window.unboundedPreceding, -1)
     inner = free_name(rows, "mix_before")
     rows = rows.withColumn(number, _range(F.col(key), ranges))
     rows = rows.withColumn(inner, F.coalesce(F.sum(size).over(line), F.lit(0)))
-    met = rows.join(starts, rows["source"].eqNullSafe(starts["plan_source"]) & (rows[number] == starts["plan_range"]))
+    met = rows.join(starts, rows["source"].eqNullSafe(starts[its_source]) & (rows[number] == starts[its_range]))
     return met, F.col(struct)["base"] + F.col(inner)
 
 
 def source_mix(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target and taken (words, repeats counted) of every row."""
-    sized = staged(docs.select("doc_id", "source", words(F.col("text")).alias("size"), mix_key(F.col("doc_id")).alias("key")), "mix-sizes")
+    sized = staged(docs.select("doc_id", "source", words(F.col("text")).alias("size"), mix_key(F.col("doc_id"), F.col("text")).alias("key")), "mix-sizes")
     starts, ranges = plan(sized)
     rows, place = _dealt(sized, starts, ranges, "key", "size", ["doc_id"])
     p = F.col("mix_plan")
@@ -109,10 +111,10 @@ def mixed(docs: DataFrame) -> DataFrame:
 
     Documents stay whole: the one on the cut comes once more if at least half of it is within the budget.
     """
-    sized = staged(docs.select("source", words(F.col("text")).alias("size"), mix_key(F.col("doc_id")).alias("key")), "mix-sizes")
+    sized = staged(docs.select("source", words(F.col("text")).alias("size"), mix_key(F.col("doc_id"), F.col("text")).alias("key")), "mix-sizes")
     starts, ranges = plan(sized)
     size, key = free_name(docs, "mix_size"), free_name(docs, "mix_key")
-    rows = docs.withColumn(size, words(F.col("text"))).withColumn(key, mix_key(F.col("doc_id")))
+    rows = docs.withColumn(size, words(F.col("text"))).withColumn(key, mix_key(F.col("doc_id"), F.col("text")))
     rows, place = _dealt(rows, starts, ranges, key, size, ["doc_id"])
     p = F.col(free_name(docs, "mix_plan"))
     more = (p["rest"] > place) & ((p["rest"] - place) * 2 >= F.col(size))
@@ -123,7 +125,7 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 SQL = rf"""
 WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-  md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+  md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
 sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 weighed AS (SELECT *, 2 * source_size AS cap, [3, 1, 2][1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3] AS weight FROM sources),
 lined AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,

@@ -20,6 +20,7 @@ of their own; rows without id are packed like others. Extra columns are ignored.
 from __future__ import annotations
 
 import itertools
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -60,24 +61,40 @@ def _byte_names() -> dict[int, int]:
 BYTE_NAMES = _byte_names()
 
 
+#: How a file must prepare texts for the shortcuts here to give its own ids.
+NORMALIZERS, SPLITTERS, WORD_END = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"], "</w>"
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str) -> Tokenizer:
+    """The file's tokenizer; one that prepares texts otherwise is refused."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    splits = [n["type"] for n in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    if (steps, splits, spec["model"].get("end_of_word_suffix")) != (NORMALIZERS, SPLITTERS, WORD_END):
+        raise ValueError(f"{path}: only lower-casing byte-level BPE with word ends is supported")
     return Tokenizer.from_file(path)
 
 
 def _parts(raw: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Texts (A-Z lower-cased) in parts that the tokenizer never joins: (bytes, start, end, text number).
+    """Texts (words of ASCII lower-cased) in parts that the tokenizer never joins: (bytes, start, end, text number).
 
     A part is a word, or a word's plain letters and digits and, on their own, the plain marks that
     end it. Words that hold ``<`` might be special tokens: they keep their case and stay whole.
+    Words beyond ASCII keep their case too: the tokenizer composes letters and marks before it
+    lowers them, and some composed letters have no capital.
     """
     start, end, doc = word_spans(raw, begins)
-    special = np.unique(np.searchsorted(start, np.flatnonzero(raw == ord("<")), side="right") - 1)
     low = ascii_lower(raw)
-    for k in special.tolist():
-        low[start[k]:end[k]] = raw[start[k]:end[k]]
     if not len(start):
         return low, start, end, doc
+    special = np.unique(np.searchsorted(start, np.flatnonzero(raw == ord("<")), side="right") - 1)
+    as_is = np.union1d(special, np.searchsorted(start, np.flatnonzero(raw >= 0x80), side="right") - 1)
+    edge = np.zeros(len(raw) + 1, np.int8)
+    np.add.at(edge, start[as_is], 1)
+    np.add.at(edge, end[as_is], -1)
+    low = np.where(np.cumsum(edge[:-1], dtype=np.int8) > 0, raw, low)
     body = np.maximum.accumulate(np.where(MARK[low], -1, np.arange(len(low))))[end - 1]  # the last byte that is no mark
     last, before = low[np.maximum(body, 0)], low[np.maximum(body - 1, 0)]
     cut = (body >= start) & (body < end - 1) & (PLAIN[last] | (body > start) & (before == 0xC3) & ACCENTED[last])
@@ -143,6 +160,7 @@ def ids_of(column: pa.Array, path: str, memo: Memo) -> tuple[np.ndarray, np.ndar
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens: every document's ids, cut at each multiple of ``length``."""
+    _tokenizer(path)  # a file that isn't supported fails here, not in a task
     pair = docs.select("doc_id", "text")
     kind = pair.schema["doc_id"].dataType.simpleString()
 

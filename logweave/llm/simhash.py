@@ -72,12 +72,12 @@ def fingerprints_of(column: pa.Array, shingle: int) -> np.ndarray:
     return prints
 
 
-def fingerprints(docs: DataFrame, shingle: int, into: str = "fp", keep: bool = False,
+def fingerprints(docs: DataFrame, shingle: int, into: str = "fp", keep: list[str] | None = None,
                  id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, fp): each text's fingerprint as a signed long; with ``keep``, beside all columns of ``docs``."""
+    """(doc_id, fp): each text's fingerprint as a signed long; with ``keep``, beside these columns of ``docs``."""
     source = docs if keep else docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     text = text_column if keep else "text"
-    held = source.columns if keep else ["doc_id"]
+    held = keep or ["doc_id"]
     schema = StructType([*(source.schema[c] for c in held), StructField(into, LongType())])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,10 +215,22 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, limit: int = 2) -> DataFra
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, limit: int = 2) -> DataFrame:
-    """``docs`` with one row of each group: that of the smallest doc_id (rows in groups without any id stay)."""
-    table = staged(fingerprints(docs, shingle), "simhash-prints")
-    kept = near_duplicates(table, limit).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    name = free_name(docs, "simhash")
-    marked = fingerprints(docs, shingle, name, keep=True)
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp")).distinct()
-    return marked.join(kept, marked["doc_id"].eqNullSafe(F.col("kept_id")) & (marked[name] == F.col("kept_fp")), "left_semi").dropDuplicates(["doc_id", name]).drop(name)
+    """``docs`` with one row of each group, of the smallest doc_id; rows in groups without any id all stay.
+
+    Of several rows with that id and one fingerprint, the one of the smallest row hash stays,
+    so the result doesn't depend on the order of the input.
+    """
+    a, b = free_name(docs, "row_a"), free_name(docs, "row_b")
+    cells = [F.col(c) for c in docs.columns]
+    marked = docs.withColumns({a: F.xxhash64(*cells), b: F.xxhash64(F.lit(1), *cells)})  # 128 bits of the whole row
+    name = free_name(marked, "simhash")
+    prints = fingerprints(marked.select("doc_id", "text", a, b), shingle, name, ["doc_id", a, b])
+    table = staged(prints.toDF("doc_id", "row_a", "row_b", "fp"), "simhash-prints")
+    first = near_duplicates(table.select("doc_id", "fp"), limit).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).distinct()
+    named = table.join(first.where("doc_id IS NOT NULL"), ["doc_id", "fp"], "left_semi").groupBy("doc_id", "fp").agg(F.min(F.struct("row_a", "row_b")).alias("row"))
+    nameless = table.where("doc_id IS NULL").join(first.where("doc_id IS NULL"), ["fp"], "left_semi").select("row_a", "row_b")
+    kept = named.select("row.row_a", "row.row_b").union(nameless).distinct().toDF(a, b)
+    # repeated rows meet here; those without id are told apart again
+    apart = free_name(marked, "apart")
+    rows = marked.join(kept, [a, b], "left_semi").withColumn(apart, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+    return rows.dropDuplicates([a, b, apart]).select(*docs.columns)

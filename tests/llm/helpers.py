@@ -26,7 +26,8 @@ ROWS = [
 ]
 #: Names that the operators use themselves.
 CLASHES = {"score": "'kept'", "fp": "1", "size": "2", "key": "'k'", "range": "3", "mix_key": "4", "mix_size": "5", "mix_plan": "6",
-           "simhash": "7", "quality_score": "8", "text_hash": "9", "gone_lines": "10", "held_out": "true", "word": "'w'"}
+           "simhash": "7", "quality_score": "8", "text_hash": "9", "gone_lines": "10", "plan_source": "'p'", "plan_range": "11", "row_a": "12", "row_b": "13", "apart": "14", "mix_range": "15", "mix_before": "16", "mix_copy": "17",
+           "held_out": "true", "word": "'w'"}
 
 
 def documents(spark, rows=ROWS, clashes=True):

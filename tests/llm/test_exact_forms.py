@@ -8,12 +8,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from logweave.llm import bpe, manifest, rotation
+from logweave.llm import bpe, manifest, mixing, packing, rotation, simhash, topk
 from tests.llm.helpers import LONG, ROWS, documents
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -205,3 +207,47 @@ def test_manifest_of_little(spark):
     assert manifest.manifest(documents(spark).limit(0)).count() == 0
     one = manifest.manifest(documents(spark, [(4, "t", None, None, 1)])).first()
     assert one["leaf"] == one["subroot"] == one["root"] == one["folded_root"] and one["proof_sha256"] == H("")
+
+
+# --- ids, survivors, keys and queries that depend on nothing but the rows -----
+
+def test_packing_ids_equal_the_tokenizer():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    r = random.Random(8)
+    marks = [chr(c) for c in (*range(0x300, 0x370), 0x1DC0, 0x20D0, 0x3099)]
+    pool = [*"AbcTJHWYKzZ0<=>!.,'  \n", "É", "ß", "İ", "Σ", "ǅ", "ﬁ", "日", "'S", "<|endoftext|>"]
+    texts = [c + m + "x" for c in map(chr, range(65, 91)) for m in marks] + [f"{c}{m}" for c in "<=>!~aA" for m in marks]
+    texts += ["".join(r.choice(pool if r.random() < 0.8 else marks) for _ in range(r.randrange(1, 12))) for _ in range(30_000)]
+    ids, first = packing.ids_of(pa.array(texts), path, packing.Memo())
+    for k, e in enumerate(t.encode_batch(texts, add_special_tokens=False)):
+        assert ids[first[k]:first[k + 1]].tolist() == [*e.ids, packing.END], texts[k]
+    with pytest.raises(ValueError):
+        packing._tokenizer(PATH)
+
+
+def test_survivors_do_not_depend_on_the_order_of_rows(spark):
+    rows = [(1, f"a b c d e{' ' * k}", "en", f"s{k}", k) for k in range(6)] + [(2, "a b c d e", "en", "s", 1)] * 2
+    rows += [(None, "x y z", "en", "s", 1)] * 2 + [(None, "x y z", "en", "t", 1), (7, "q r s t", "en", "s", 1), (None, "q r s t", "en", "s", 1)]
+    docs = documents(spark, rows)
+    got = [sorted(map(tuple, simhash.one_of_each(docs.repartition(n)).collect()), key=str) for n in (1, 4, 7)]
+    assert got[0] == got[1] == got[2]
+    assert sorted((r[0] or -1) for r in got[0]) == [-1, -1, -1, 1, 7]  # groups without any id stay whole
+
+
+def test_mix_ranges_hold_rows_without_id(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 50)
+    docs = documents(spark, [(None if k % 2 else 5, f"text {k}", "en", "a", 1) for k in range(2000)])
+    sized = docs.select(mixing.mix_key(F.col("doc_id"), F.col("text")).alias("key"))
+    sizes = [r["count"] for r in sized.groupBy(mixing._range(F.col("key"), 40).alias("r")).count().collect()]
+    assert len(sizes) == 40 and max(sizes) < 120
+    assert mixing.source_mix(docs).count() == 2000 and mixing.mixed(docs).columns == docs.columns
+
+
+def test_repeated_queries_and_large_components(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.5]), (3, [0.9, 0.0]), (4, [0.2, 0.0]), (5, [0.1, 0.0]), (6, [0.0, 1.0])],
+                                 "vec_id long, embedding array<double>")
+    got = [(r["rank"], r["vec_id"]) for r in topk.top_k(rows, F.col("vec_id") == 1, 5).collect()]
+    assert sorted(got) == sorted(2 * [(1, 1), (2, 3), (3, 2), (4, 4), (5, 5)])
+    with pytest.raises(Exception, match="beyond a long"):
+        topk.top_k(rows.union(spark.createDataFrame([(9, [1e16, 0.0])], rows.schema)), F.col("vec_id") == 1).collect()
