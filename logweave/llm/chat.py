@@ -5,18 +5,22 @@ begins with (if any), whether a blank line or nothing stands before it, and its
 length class. Hidden states are role and whether the line begins a turn or goes
 on with one. Transitions and emissions are counts over labelled lines; Viterbi
 finds the best states. Each turn is rendered as a role line, its text without
-marker and outer blank lines, and an end line.
-
-Long transcripts are cut into blocks of ``BLOCK`` parts. A block is first summed
-up as the best score from each state before it to each state at its end (42
+marker and outer blank lines (the first line keeps its indentation), and an end
+line.
+
+All lines are range-sorted, and counts of each range's lines give every line its
+number in its transcript. Transcripts are cut into blocks of ``BLOCK`` lines,
+wherever their parts begin; a block also gets the last line before it, so no
+feature depends on where blocks fall. A block is first summed
+up as the best score from each state before it to each state at its end (72
 numbers); these sums give the states at all borders; then each block is decoded
 between its borders. So no task holds more lines of one transcript than a block.
 
 Defined cases: a null text is an empty line; turns without any text are kept with
 empty text. Null ids are one transcript, null parts come first; parts with equal
-numbers are in order of their text. Roles outside the known ones are not learned
-from. Without labelled lines all states are equally likely. Extra columns are
-ignored.
+numbers are in order of their text, and repeated parts follow one another. Roles
+outside the known ones, null too, count as the last one, ``tool``. Without labelled
+lines all states are equally likely. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,32 +35,55 @@ from pyspark.sql import functions as F
 
 from logweave.llm.storage import staged
 
-ROLES = ("system", "user", "assistant")
-BLOCK, TASK_LINES = 256, 20_000
+ROLES = ("system", "user", "assistant", "tool")
+BLOCK, TASK_LINES = 4096, 20_000
 #: State 2*role begins a turn, 2*role+1 goes on with it.
 STATES = 2 * len(ROLES)
-MARKERS, GAPS, LENGTHS = 4, 2, 6
+MARKERS, GAPS, LENGTHS = 1 + len(ROLES), 2, 6
 #: Names that stand for a role in a speaker marker.
-NAMES = (("system", "instructions", "context"), ("user", "human", "question", "q"), ("assistant", "ai", "bot", "answer", "a"))
+NAMES = (("system", "instructions", "context"), ("user", "human", "question", "q"), ("assistant", "ai", "bot", "answer", "a"),
+         ("tool", "function", "observation"))
 MARK = r"^\s*(?:#+\s*({names})\s*:?|<\|?({names})\|?>|\[({names})\]|({names})\s*:)\s*(?=\s|$)"
 PATTERNS = [f"(?i){MARK.format(names='|'.join(n))}" for n in NAMES]
 ANY = f"(?i){MARK.format(names='|'.join(sum(NAMES, ())))}"
 
 
+def _role(column: str = "role"):
+    """A role's number; all that aren't known are the last."""
+    return F.coalesce(*(F.when(F.col(column) == r, F.lit(i)) for i, r in enumerate(ROLES)), F.lit(len(ROLES) - 1))
+
+
 def lines_of(parts: DataFrame, labelled: bool = False) -> DataFrame:
-    """Every line of (conv_id, part, text[, role]) with its block, place, marker and length class."""
+    """Every line of (conv_id, part, text[, role]) with its number in the transcript, marker and length class.
+
+    A written table, sorted by transcript and line: at is a line's place in its range of the sort.
+    """
     text = F.coalesce("text", F.lit(""))
-    role = F.coalesce(*(F.when(F.col("role") == r, F.lit(i)) for i, r in enumerate(ROLES)), F.lit(-1)) if labelled else F.lit(-1)
+    role = _role() if labelled else F.lit(-1)
     rows = parts.select("conv_id", F.coalesce("part", F.lit(-1)).cast("long").alias("part"), F.xxhash64(text).alias("tie"), role.alias("role"),
-                        F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
+                        F.monotonically_increasing_id().alias("copy"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
     marker = F.lit(0)
     for i, p in enumerate(PATTERNS):
         marker = F.when(F.col("line").rlike(p), F.lit(i + 1)).otherwise(marker)
     size = F.length("line")
     length = F.when(size == 0, 0).when(size < 20, 1).when(size < 80, 2).when(size < 240, 3).when(size < 700, 4).otherwise(5)
-    block = F.expr(f"part DIV {BLOCK}")
-    return rows.select("conv_id", block.alias("block"), "part", "tie", "pos", "role", marker.alias("marker"), length.alias("length"), "line",
-                       F.xxhash64("conv_id").alias("conv"), F.xxhash64("conv_id", block).alias("key"))
+    rows = rows.select("conv_id", F.xxhash64("conv_id").alias("conv"), "part", "tie", "copy", "pos", "role", marker.alias("marker"), length.alias("length"), "line")
+    order = rows.orderBy("conv", "part", "tie", "copy", "pos").withColumn("at", F.monotonically_increasing_id())
+    table = staged(order.select("conv_id", "conv", "pos", "role", "marker", "length", "line", "at"), "chat-sorted")
+    spread = F.shiftright("at", 33)
+    runs = table.groupBy("conv", spread.alias("part")).agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range of the sort
+    runs = runs.select("conv", "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return table.withColumn("part", spread).join(runs, ["conv", "part"]).withColumn("number", F.col("at") + F.col("shift")).drop("at", "part", "shift")
+
+
+def blocked(lines: DataFrame) -> DataFrame:
+    """Lines by block: block, its key and own; a block's last line comes in the next one too, where it isn't own."""
+    block = F.expr(f"number DIV {BLOCK}")
+    last = (F.col("number") + 1) % BLOCK == 0
+    both = F.when(last, F.array(block, block + 1)).otherwise(F.array(block))
+    dealt = lines.withColumn("block", F.explode(both)).withColumn("own", F.col("block") == block)
+    return dealt.withColumn("key", F.xxhash64("conv", "block"))
 
 
 def _sequences(table: pa.Table, key: str, order: list[str]) -> Iterator[pa.Table]:
@@ -68,14 +95,15 @@ def _sequences(table: pa.Table, key: str, order: list[str]) -> Iterator[pa.Table
         yield table.slice(a, b - a)
 
 
-PLACE = ["part", "tie", "pos"]
+PLACE = ["number"]
 
 
-def _features(lines: pa.Table) -> np.ndarray:
-    """Marker, gap and length class of each line."""
-    length = lines.column("length").to_numpy()
+def _features(lines: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """A block's own lines, and marker, gap and length class of each."""
+    length, own = lines.column("length").to_numpy(), lines.column("own").to_numpy()
     gap = np.concatenate([[1], (length[:-1] == 0).astype(int)])
-    return np.stack([lines.column("marker").to_numpy(), gap, length], 1)
+    features = np.stack([lines.column("marker").to_numpy(), gap, length], 1)
+    return (lines, features) if own[0] else (lines.slice(1), features[1:])
 
 
 def _tasks(rows: DataFrame, key: str, total: int, size: int = TASK_LINES):
@@ -125,21 +153,20 @@ class Model:
 def fit(labelled: DataFrame) -> Model:
     """Counts over all labelled lines; the first line of a part begins its turn."""
     width = STATES + STATES * STATES + STATES * (MARKERS + GAPS + LENGTHS)
-    rows = staged(lines_of(labelled, labelled=True).drop("line"), "chat-labelled")
+    rows = staged(blocked(lines_of(labelled, labelled=True).drop("line", "conv_id")), "chat-labelled")
 
     def counted(table: pa.Table) -> pa.Table:
         total = np.zeros(width)
         for lines in _sequences(table, "key", PLACE):
-            role, pos, x = lines.column("role").to_numpy(), lines.column("pos").to_numpy(), _features(lines)
-            state = 2 * role + (pos > 0)
-            real = role >= 0
-            if real[0] and lines.column("block")[0].as_py() <= 0:
+            state = 2 * lines.column("role").to_numpy() + (lines.column("pos").to_numpy() > 0)
+            if lines.column("number")[0].as_py() == 0:
                 total[state[0]] += 1
-            pair = real[1:] & real[:-1]
-            np.add.at(total, STATES + state[:-1][pair] * STATES + state[1:][pair], 1)
+            np.add.at(total, STATES + state[:-1] * STATES + state[1:], 1)
+            _, x = _features(lines)
+            state = state[len(state) - len(x):]
             at = STATES + STATES * STATES
             for k, n in enumerate((MARKERS, GAPS, LENGTHS)):
-                np.add.at(total, at + state[real] * n + x[real, k], 1)
+                np.add.at(total, at + state * n + x[:, k], 1)
                 at += STATES * n
         return pa.table({"place": np.arange(width), "n": total})
 
@@ -155,9 +182,12 @@ def _borders(lines: DataFrame, total: int, model: Model) -> DataFrame:
     def summed(table: pa.Table) -> pa.Table:
         rows = []
         for part in _sequences(table, "key", PLACE):
-            start, ways = model.through(model.emitted(_features(part)))
+            own, features = _features(part)
+            if not own.num_rows:  # nothing follows the last full block
+                continue
+            start, ways = model.through(model.emitted(features))
             rows.append((part.column("key")[0].as_py(), part.column("conv")[0].as_py(), part.column("block")[0].as_py(), np.concatenate([start, ways.ravel()]).tolist()))
-        return pa.table({c: pa.array(x, t) for c, x, t in zip(("key", "conv", "block", "best"), zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64())), strict=True)})
+        return pa.table({c: pa.array(x, t) for c, x, t in zip(("key", "conv", "block", "best"), zip(*rows, strict=True) if rows else ([],) * 4, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64())), strict=True)})
 
     def joined(table: pa.Table) -> pa.Table:
         out = []
@@ -181,7 +211,7 @@ def _borders(lines: DataFrame, total: int, model: Model) -> DataFrame:
 
 def turns(parts: DataFrame, model: Model) -> DataFrame:
     """conv_id, turn, role, text and rendered of every turn found in raw transcripts (conv_id, part, text)."""
-    lines = staged(lines_of(parts), "chat-lines")
+    lines = staged(blocked(lines_of(parts)), "chat-lines")
     total = lines.count()
     bordered = lines.join(_borders(lines, total, model), "key")
     kind = lines.schema["conv_id"].dataType.simpleString()
@@ -189,7 +219,8 @@ def turns(parts: DataFrame, model: Model) -> DataFrame:
     def decoded(table: pa.Table) -> pa.Table:
         out = []
         for part in _sequences(table, "key", PLACE):
-            states = model.path(model.emitted(_features(part)), part.column("entry")[0].as_py(), part.column("leave")[0].as_py())
+            part, features = _features(part)
+            states = model.path(model.emitted(features), part.column("entry")[0].as_py(), part.column("leave")[0].as_py())
             n = len(states)
             out.append(pa.table({"conv_id": part.column("conv_id"), "block": part.column("block"), "nth": np.arange(n),
                                  "role": pa.array(np.array(ROLES, object)[states // 2], pa.string()), "begins": np.cumsum(states % 2 == 0),
@@ -202,10 +233,10 @@ def turns(parts: DataFrame, model: Model) -> DataFrame:
     starts = found.groupBy("conv_id", "block").agg(F.max("begins").alias("n")).select(
         F.col("conv_id").alias("in_conv"), F.col("block").alias("in_block"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     numbered = found.join(starts, found["conv_id"].eqNullSafe(starts["in_conv"]) & (found["block"] == starts["in_block"]))
-    line = F.when(F.col("first"), F.regexp_replace("line", ANY, "")).otherwise(F.col("line"))
+    line = F.when(F.col("first") & F.col("line").rlike(ANY), F.ltrim(F.regexp_replace("line", ANY, ""))).otherwise(F.col("line"))
     whole = F.array_sort(F.collect_list(F.struct("block", "nth", line.alias("line"), "role")))
     met = numbered.groupBy("conv_id", (F.col("base") + F.col("begins") - 1).alias("turn")).agg(whole.alias("lines"))
-    text = F.regexp_replace(F.array_join(F.transform("lines", lambda x: x["line"]), "\n"), r"^\s+|\s+$", "")
+    text = F.regexp_replace(F.array_join(F.transform("lines", lambda x: x["line"]), "\n"), r"^(?:[^\S\n]*\n)+|\s+$", "")
     got = met.select("conv_id", "turn", F.col("lines")[0]["role"].alias("role"), text.alias("text"))
     return got.withColumn("rendered", F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("\n<|end|>")))
 
@@ -218,11 +249,11 @@ def raw_transcripts(conversations: DataFrame) -> DataFrame:
     style = F.pmod(F.xxhash64("conv_id"), F.lit(4))
     lost = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)) == 0
     said = F.coalesce("text", F.lit(""))
-    name = lambda names: F.coalesce(*(F.when(F.col("role") == r, F.lit(n)) for r, n in zip(ROLES, names, strict=True)), F.lit(""))
-    text = F.when(style == 0, F.concat(name(("System: ", "User: ", "Assistant: ")), said))
-    text = text.when(style == 1, F.concat(name(("### System\n", "### Human\n", "### AI\n")), said, F.lit("\n")))
-    text = text.when(style == 2, F.concat(name(("Instructions: ", "Q: ", "A: ")), said))
-    text = text.otherwise(F.concat(F.when(lost, F.lit("")).otherwise(name(("[system] ", "[user] ", "[assistant] "))), said, F.lit("\n")))
+    name = lambda names: F.get(F.array(*map(F.lit, names)), _role())
+    text = F.when(style == 0, F.concat(name(("System: ", "User: ", "Assistant: ", "Tool: ")), said))
+    text = text.when(style == 1, F.concat(name(("### System\n", "### Human\n", "### AI\n", "### Tool\n")), said, F.lit("\n")))
+    text = text.when(style == 2, F.concat(name(("Instructions: ", "Q: ", "A: ", "Observation: ")), said))
+    text = text.otherwise(F.concat(F.when(lost, F.lit("")).otherwise(name(("[system] ", "[user] ", "[assistant] ", "[tool] "))), said, F.lit("\n")))
     return conversations.select("conv_id", F.col("turn").alias("part"), text.alias("text"), "role")
 
 

@@ -255,3 +255,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce(F.col("n") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).alias("n_links"),
                       component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+
+
+SQL = """
+WITH RECURSIVE vectors AS (SELECT row_number() OVER () AS row, vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v,
+  coalesce(len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0, FALSE)
+  AND vec_id IS NOT NULL AS valid FROM embeddings),
+links AS (SELECT a.row AS a, b.row AS b FROM vectors a JOIN vectors b ON a.valid AND b.valid AND a.row <> b.row AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reached(node, root) AS (SELECT row, row FROM vectors UNION SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.root),
+component AS (SELECT node, min(vec_id) AS component_id FROM reached JOIN vectors ON row = root GROUP BY node),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, coalesce(vec_id = component_id, FALSE) AS kept
+FROM vectors JOIN component ON node = row LEFT JOIN degree ON a = row
+"""

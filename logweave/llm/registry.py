@@ -71,5 +71,5 @@ def op13_merkle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op2_byte_network_languages, op3_chat_turns, op4_context_mixing, op5_lattice_near_duplicates, op6_threshold_topk, op7_line_runs, op8_packing, op9_simhash_gray, op10_quality_discriminant,
                                                    op11_rank_array_bpe, op12_block_rotation_fim, op13_merkle_rollup)}
-SQL: dict[str, str] = {"op1_source_mix": mixing.SQL, "op6_threshold_topk": topk.SQL, "op7_line_runs": lines.SQL,
+SQL: dict[str, str] = {"op1_source_mix": mixing.SQL, "op5_lattice_near_duplicates": lattice.SQL, "op6_threshold_topk": topk.SQL, "op7_line_runs": lines.SQL,
                        "op12_block_rotation_fim": rotation.SQL, "op13_merkle_rollup": manifest.SQL}

@@ -176,6 +176,33 @@ def test_blocks_give_the_same_path(spark, monkeypatch):
     assert sorted(map(tuple, chat.turns(parts.drop("role"), model).collect())) == whole
 
 
+def test_a_long_part_spans_blocks_and_keeps_its_turns(spark, monkeypatch):
+    parts = chat.raw_transcripts(_conversations(spark, 40))
+    model = chat.fit(parts)
+    long = "\n".join(f"line {k}" if k % 9 else "" for k in range(5001))
+    rows = [(1, 0, "User: hi there"), (1, 1, f"Assistant: {long}"), (1, None, "System: be kind"), (1, 2, "User: done"), (1, 2, "User: done")]
+    raw = spark.createDataFrame(rows, "conv_id long, part int, text string")
+    whole = sorted(map(tuple, chat.turns(raw, model).collect()))
+    monkeypatch.setattr(chat, "BLOCK", 64)
+    assert chat.blocked(chat.lines_of(raw)).select("key").distinct().count() >= 5005 // 64
+    assert sorted(map(tuple, chat.turns(raw, model).collect())) == whole
+    for k in (1, 3, 5005, 5006):  # a block that ends with the transcript
+        monkeypatch.setattr(chat, "BLOCK", k)
+        assert sorted(map(tuple, chat.turns(raw.where("part IS NULL OR part <> 1 OR text = ''") if k < 9 else raw, model).collect()))
+    assert [t[2] for t in whole][:3] == ["system", "user", "assistant"] and whole[2][3].startswith(long.strip())
+
+
+def test_tool_turns_and_indentation_survive(spark):
+    talks = _conversations(spark, 40).select("conv_id", "turn", "role", "text")
+    more = [(c, t, r, x) for c in range(100, 140) for t, (r, x) in enumerate([("user", "please look it up"), ("tool", f"result {c}"), ("assistant", "    indented code\nmore")])]
+    got = {}
+    for r in chat.formatted_chats(talks.union(spark.createDataFrame(more, talks.schema))).where("conv_id >= 100").orderBy("conv_id", "turn").collect():
+        got.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
+    marked = [c for c in got if len(got[c]) == 3]
+    assert len(marked) >= 25 and all([r for r, _ in got[c]] == ["user", "tool", "assistant"] for c in marked)
+    assert any(got[c][2][1] == "    indented code\nmore" for c in marked)
+
+
 def test_viterbi_is_the_best_of_all_paths():
     import itertools
     rng = np.random.default_rng(7)
