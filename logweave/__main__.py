@@ -10,7 +10,8 @@ Commands:
 
 CONFIG is a properties file (``key=value`` lines, ``#`` comments) with the
 keys described in ``logweave.plans.apps``; ``log.path`` selects a Parquet
-log table instead of Kafka.  The Spark session comes from the environment
+log table instead of Kafka; streaming state is kept in RocksDB unless
+``state.store`` is ``memory``.  The Spark session comes from the environment
 (spark-submit or a cluster's defaults).
 """
 
@@ -51,8 +52,13 @@ def main(argv: list[str]) -> int:
         print(__doc__)
         return 2
     command, config = argv[0], read_properties(argv[1])
-    spark = SparkSession.builder.appName(f"logweave-{command}").getOrCreate()
     from .plans import apps
+    from .streaming.state import ROCKSDB
+
+    builder = SparkSession.builder.appName(f"logweave-{command}")
+    if config.get("state.store", "rocksdb") == "rocksdb":
+        builder = builder.config(map=ROCKSDB)
+    spark = builder.getOrCreate()
 
     if command == "console":
         apps.start_console(spark, config)
