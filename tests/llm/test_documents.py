@@ -391,7 +391,7 @@ def _random_cells(spark, bits, names, size):
             mine = part[home[tokens[part]] == bucket]
             own, at = np.unique(tokens[mine], return_inverse=True)
             words.append((name, bucket, contextmix._packed((0, [names[k] for k in own], np.ones(len(own), np.uint32), np.full(len(own), contextmix.INSIDE, np.uint8), np.bincount(at).astype(np.uint32)))))
-            entries.append((name, bucket, contextmix._packed((0, contextmix._planes(one[mine]), contextmix._planes(two[mine]), at.astype(np.uint32), np.ones(len(mine), np.uint32)))))
+            entries.append((name, bucket, contextmix._packed((0, contextmix._planes(two[mine]), contextmix._planes(at), contextmix._planes(np.ones(len(mine)))))))
     buckets = contextmix.staged(contextmix._buckets(spark.createDataFrame(words, "slice long, bucket long, data binary"), bits), "t-buckets")
     top, slots = contextmix._summed(buckets, bits)
     return hashes, tokens, one, two, top, slots, contextmix._cells(spark.createDataFrame(entries, "slice long, bucket long, entries binary"), buckets, top)
