@@ -8,7 +8,9 @@ holds the bits on which they all agree, groups of nodes share an upper node,
 and a node keeps only the bits that its parent doesn't hold already. A search
 adds up the differing bits from the root downwards and drops a whole group as
 soon as they exceed the limit. One more tree, over the ranges, sends each
-fingerprint only to ranges that may hold a partner.
+fingerprint only to ranges that may hold a partner. However many a range gets, a
+task searches about ``QUERIES`` of them: they are dealt into blocks, each with the
+range's own fingerprints.
 
 Defined cases: a text with fewer words than the shingle length is one shingle; a
 text without words, or null, has fingerprint 0 and links like any other.
@@ -36,7 +38,8 @@ from logweave.llm.text import ascii_lower, slices, text_bytes, word_spans
 SEED = 42
 FAN = 8
 RANGE_ROWS = 1 << 16
-#: Fingerprints that one pass of a search takes.
+#: Fingerprints that one task looks up in one range, about, and that one pass of a search takes.
+QUERIES = 1 << 15
 BLOCK = 4096
 SIGN = np.uint64(1 << 63)
 BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -128,15 +131,16 @@ class GrayTree:
         return query, node
 
 
-def _links(own: np.ndarray, guests: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join what is connected among ``own`` and ``guests``: at most one for each fingerprint."""
+def _links(own: np.ndarray, asked: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join what the search for ``asked`` connects with ``own``: at most one for each fingerprint."""
     own = own[np.argsort(gray_rank(own))]
     tree = GrayTree(own, own)
-    nodes = np.concatenate([own, guests])
+    nodes, place = np.unique(np.concatenate([own, asked]), return_inverse=True)
+    leaves, asked = place[:len(own)], np.unique(place[len(own):])
     left, right = [], []
-    for at in range(0, len(nodes), BLOCK):
-        query, leaf = tree.search(nodes[at:at + BLOCK], limit)
-        query = query + at
+    for at in range(0, len(asked), BLOCK):
+        query, leaf = tree.search(nodes[asked[at:at + BLOCK]], limit)
+        query, leaf = asked[at + query], leaves[leaf]
         apart = query != leaf
         label = local_components(len(nodes), query[apart], leaf[apart])
         moved = np.flatnonzero(label != np.arange(len(nodes)))
@@ -188,13 +192,33 @@ def near_links(prints: DataFrame, limit: int, range_rows: int = RANGE_ROWS) -> D
                 query, goal = query[ahead], number[leaf[ahead]]
                 yield pa.record_batch([pa.array(goal), pa.array(fp[query].view(np.int64)), pa.array(goal == home[query])], ["part", "fp", "own"])
 
+    visits = staged(ranges.mapInArrow(routed, "part long, fp long, own boolean"), "simhash-visits")
+    blocks = np.ones(len(bounds) + 1, np.int64)
+    for r in visits.groupBy("part").count().collect():  # a row for each range
+        blocks[r["part"]] = math.ceil(r["count"] / QUERIES)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each fingerprint asks in one block of its range; the range's own ones are in all of them."""
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK):
+                b = whole.slice(at, BLOCK)
+                part, own = (b.column(c).to_numpy(zero_copy_only=False) for c in ("part", "own"))
+                fp = b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+                asks = (fp * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) % blocks[part]
+                ends = np.cumsum(np.where(own, blocks[part], 1))
+                for c in range(0, int(ends[-1]), RANGE_ROWS):
+                    copy = np.arange(c, min(c + RANGE_ROWS, int(ends[-1])))
+                    row = np.searchsorted(ends, copy, "right")
+                    block = np.where(own[row], ends[row] - copy - 1, asks[row])
+                    yield pa.record_batch([pa.array(x) for x in (part[row], block, fp[row].view(np.int64), own[row], asks[row] == block)],
+                                          ["part", "block", "fp", "own", "asks"])
+
     def linked(group: pa.Table) -> pa.Table:
         fp = group.column("fp").to_numpy().view(np.uint64)
-        own = group.column("own").to_numpy()
-        a, b = _links(fp[own], fp[~own], limit)
+        a, b = _links(fp[group.column("own").to_numpy()], fp[group.column("asks").to_numpy()], limit)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return ranges.mapInArrow(routed, "part long, fp long, own boolean").groupBy("part").applyInArrow(linked, "a long, b long")
+    return visits.mapInArrow(dealt, "part long, block long, fp long, own boolean, asks boolean").groupBy("part", "block").applyInArrow(linked, "a long, b long")
 
 
 def near_duplicates(table: DataFrame, limit: int) -> DataFrame:

@@ -135,8 +135,9 @@ def test_fingerprints_and_groups(spark):
     assert simhash.simhash_groups(docs.limit(0)).count() == 0 and simhash.one_of_each(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("range_rows", [16, 1000])
-def test_gray_index_finds_all_links(spark, range_rows):
+@pytest.mark.parametrize(("range_rows", "queries"), [(16, 1 << 15), (1000, 1 << 15), (64, 20), (1000, 50)])
+def test_gray_index_finds_all_links(spark, monkeypatch, range_rows, queries):
+    monkeypatch.setattr(simhash, "QUERIES", queries)
     rng = np.random.default_rng(2)
     seeds = rng.integers(0, 1 << 63, 120, dtype=np.uint64)
     prints = [int(s) for s in seeds] + [0, 1, 3, (1 << 64) - 1, 1 << 63]
