@@ -21,8 +21,9 @@ their own, ordered by a hash of the text. Rows without id come first. Lines
 match byte for byte. Extra columns are kept by ``without_later_copies``.
 
 Everything is DataFrame operations. Windows run over one document's repeated
-lines or over bounded ranges of ranks; a frequent line is only counted and
-joined, so no task holds all of its rows.
+lines or over bounded ranges of ranks. The rows of a frequent line or run are only
+counted, with partial sums, and given its rank in a join of two plain shuffles, of
+which adaptive execution splits large partitions.
 """
 
 from __future__ import annotations
@@ -111,8 +112,10 @@ def _later(blocks: DataFrame, ranks: DataFrame, reach: int) -> DataFrame:
     met = met.join(tail, _same(met, tail, *DOC, "last")).select(
         met["doc_id"], met["doc_hash"], "kind", "start", "size", "head", "tail")
     place = F.struct("doc_id", "doc_hash", "start")
-    intervals = met.groupBy("kind", "size", "head", "tail").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    return met.join(intervals, ["kind", "size", "head", "tail"]).where(place != F.col("first")).select(
+    intervals = met.groupBy("kind", "size", "head", "tail").agg(F.min(place).alias("first"))
+    # all but the first of each: matched by the first's own place, as an interval may hold any number of rows
+    first = intervals.select("kind", "size", "first.*")
+    return met.join(first, _same(met, first, *DOC, "start", "kind", "size"), "left_anti").select(
         *DOC, "start", (F.col("start") + F.col("size")).alias("stop"))
 
 
