@@ -38,8 +38,9 @@ from logweave.llm.text import ascii_lower, slices, text_bytes, word_spans
 SEED = 42
 FAN = 8
 RANGE_ROWS = 1 << 16
-#: Fingerprints that one task looks up in one range, about, and that one pass of a search takes.
-QUERIES = 1 << 15
+#: Fingerprints that one task looks up in one range, about: as many ranges' worth as keep the copies of a range's
+#: own ones, one for each block, below a quarter of all visits. And those that one pass of a search takes.
+QUERIES = 4 * RANGE_ROWS
 BLOCK = 4096
 SIGN = np.uint64(1 << 63)
 BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
