@@ -39,6 +39,8 @@ from logweave.llm.storage import staged
 SCALE, PROBES, RECALL = 4.0, 8, 0.95
 #: Rows of one group that are compared in one task, rows of one task, and pairs compared at once.
 BLOCK, TASK_ROWS, PAIRS = 2048, 8192, 1 << 16
+#: More than two ways to add up a cosine can differ by.
+ROUNDING = 1e-9
 #: Vectors for which two blocks separate well; each further block serves a hundred times as many.
 TWO_BLOCKS = 1 << 20
 SEED = 20
@@ -139,7 +141,14 @@ def _close(x: np.ndarray, group: np.ndarray, first: np.ndarray, threshold: float
         rows = np.arange(np.searchsorted(group, g, side="left"), np.searchsorted(group, g, side="right"))
         own = first[group[first] == g]
         for at in range(0, len(own), 256):
-            i, j = np.nonzero(x[own[at:at + 256]] @ x[rows].T >= threshold)
+            cosine = x[own[at:at + 256]] @ x[rows].T
+            met = cosine >= threshold
+            # a product of matrices rounds in its own way: what is this close is decided as in small groups
+            i, j = np.nonzero(np.abs(cosine - threshold) < ROUNDING)
+            for k in range(0, len(i), PAIRS):
+                a, b = i[k:k + PAIRS], j[k:k + PAIRS]
+                met[a, b] = np.einsum("ij,ij->i", x[own[at + a]], x[rows[b]]) >= threshold
+            i, j = np.nonzero(met)
             i, j = own[at:at + 256][i], rows[j]
             yield i[i != j], j[i != j]
     first, begin, size = first[~large], begin[~large], size[~large]

@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 from logweave.llm.storage import staged
 
 SCALE = 256
-CANDIDATES, QUERIES = 4096, 1024
+#: Rows of a block of candidates and of queries, and the bytes that either may have: as every candidate is
+#: copied for each block of queries, these are large, and a block of long vectors has fewer rows.
+CANDIDATES, QUERIES, BLOCK_BYTES = 4096, 16384, 32 << 20
 #: List entries read of each dimension in the first step; the next steps double it.
 STEP = 8
 
@@ -76,8 +78,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE)
     rows = vectors.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & ~bad)
     rows = rows.select("vec_id", F.transform("embedding", lambda v: F.floor(v.cast("double") * scale)).alias("v"), is_query.alias("query"))
     table = staged(rows.withColumn("dims", F.size("v")).withColumn("row", F.monotonically_increasing_id()), "topk-vectors")
-    n, q = table.agg(F.count("*"), F.count_if("query")).first()
-    blocks, query_blocks = max(1, math.ceil(n / CANDIDATES)), max(1, math.ceil(q / QUERIES))
+    n, q, dims = table.agg(F.count("*"), F.count_if("query"), F.coalesce(F.max("dims"), F.lit(1))).first()
+    fit = max(1, BLOCK_BYTES // (8 * dims))
+    blocks, query_blocks = max(1, math.ceil(n / min(CANDIDATES, fit))), max(1, math.ceil(q / min(QUERIES, fit)))
 
     def dealt(df: DataFrame, own: int, others: int, name: str, other: str) -> DataFrame:
         place = F.pmod(F.xxhash64("row"), F.lit(own).cast("long")).alias(name)

@@ -235,3 +235,26 @@ def test_slices_bound_the_text():
     parts = list(slices([batch], max_bytes=10))
     assert sum(p.num_rows for p in parts) == 8 and pa.Table.from_batches(parts).column(0).to_pylist() == batch.column(0).to_pylist()
     assert all(p.num_rows == 1 or sum(len(t or "") for t in p.column(0).to_pylist()) <= 10 for p in parts)
+
+
+def test_links_do_not_depend_on_the_size_of_a_group():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 48))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    exact = np.einsum("ij,ij->i", np.repeat(x, 400, 0), np.tile(x, (400, 1))).reshape(400, 400)
+    product = x @ x.T
+    odd = np.argwhere(exact != product)
+    for i, j in odd[:: max(1, len(odd) // 20)]:  # thresholds that the two ways of adding up see differently
+        if i == j:
+            continue
+        threshold = max(exact[i, j], product[i, j])
+        pairs = np.concatenate([np.stack(p, 1) for p in lattice._close(x, np.zeros(400, int), np.arange(400), threshold)])
+        want = np.argwhere((exact >= threshold) & ~np.eye(400, dtype=bool))
+        assert sorted(map(tuple, pairs.tolist())) == sorted(map(tuple, want.tolist()))
+
+
+def test_topk_blocks_of_long_vectors(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 8 * 16 * 10)  # ten rows of 16 components
+    x = np.random.default_rng(10).normal(size=(60, 16))
+    got = topk.top_k(_vectors(spark, x, odd=False), F.col("vec_id") % 4 == 0).collect()
+    assert sorted(tuple(r) for r in got) == _best(x, list(range(60)), 5, 4)
