@@ -111,8 +111,12 @@ def _later(blocks: DataFrame, ranks: DataFrame, reach: int) -> DataFrame:
     met = met.join(tail, _same(met, tail, *DOC, "last")).select(
         met["doc_id"], met["doc_hash"], "kind", "start", "size", "head", "tail")
     place = F.struct("doc_id", "doc_hash", "start")
-    intervals = met.groupBy("kind", "size", "head", "tail").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    return met.join(intervals, ["kind", "size", "head", "tail"]).where(place != F.col("first")).select(
+    run = ["kind", "size", "head", "tail"]
+    intervals = met.groupBy(*run).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    # one key more than the groups have: the join has an exchange of its own on both sides, so a
+    # frequent run's occurrences may be split over several tasks as any skewed join's rows
+    key = F.xxhash64(*run)
+    return met.withColumn("run", key).join(intervals.withColumn("run", key), ["run", *run]).where(place != F.col("first")).select(
         *DOC, "start", (F.col("start") + F.col("size")).alias("stop"))
 
 
