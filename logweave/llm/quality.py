@@ -176,6 +176,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, with their own columns."""
-    _, model = learned(docs, labels)
+    learn = remainder("doc_id", 5) != 0  # no other row's statistics are needed for the model
+    model = fit(statistics_table(docs.where(learn)), labels, learn)
     name = free_name(docs, "quality_score")
     return with_score(docs, model, name).where(F.col(name) >= THRESHOLD).drop(name)
