@@ -42,7 +42,7 @@ UNIT = 8
 #: The linear program ends when its value is within this share of the optimum.
 GAP = 1e-3
 #: Distinct parts of words that a worker's memo of ids holds before it starts anew.
-MEMO = 1 << 20
+MEMO = 1 << 18
 RANGE_ROWS = 4096
 #: Bytes a-z and 0-9; and printable marks, without those that contractions and special tokens hold.
 PLAIN = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz0123456789"))
