@@ -2,6 +2,7 @@
 
 import collections
 import math
+import os
 import random
 import zlib
 
@@ -14,6 +15,7 @@ from tokenizers import Tokenizer
 
 from logweave.llm import contextmix, language, lines, mixing, packing, quality, simhash
 from logweave.llm.components import components, local_components
+from logweave.llm.storage import staged
 from tests.llm.helpers import LONG, LOWER, ROWS, SCHEMA, TOKENIZER, documents, words
 
 
@@ -462,6 +464,35 @@ def test_counts_after_words_are_those_of_all_tokens(spark, monkeypatch):
     assert checked > 10_000
 
 
+def test_model_keeps_few_bytes_a_token(spark, monkeypatch, tmp_path):
+    """All staged tables together, over several buckets; shuffles of what is staged are gone once it is."""
+    monkeypatch.setattr(contextmix, "BUCKET_BYTES", 1 << 19)
+    kept = []
+    monkeypatch.setattr(contextmix, "staged", lambda df, name: kept.append(staged(df, name)) or kept[-1])
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    rng = np.random.default_rng(6)
+    at = (30_000 * rng.random((1500, 200)) ** 3).astype(int)
+    rows = [(k, " ".join("word%d" % w for w in row), "x", "s", 1) for k, row in enumerate(at)]
+    got = contextmix.language_model_scores(documents(spark, rows, clashes=False))
+    size = sum(os.path.getsize(f.removeprefix("file://")) for df in kept for f in df.inputFiles())
+    assert size < 18 * at.size
+    assert spark.conf.get(setting) == before
+    assert sum(r["n_tokens"] for r in got.collect()) == at.size + len(at)
+
+
+def test_slices_and_counts_round_trip():
+    rng = np.random.default_rng(3)
+    code, first = np.append(rng.integers(0, 300, 400), 300), np.array([0, 0, 7, 7, 401])
+    words = [b"w%d" % k for k in range(300)] + [b""]
+    made = contextmix.Slice(words, code, first, rng.integers(0, contextmix.CONTEXTS, 401), np.array([True, False, False, True]))
+    got = contextmix._unpacked(contextmix._packed(made))
+    assert [got.words[k] for k in got.code] == [words[k] for k in code] and got.first.tolist() == first.tolist()
+    assert got.context.tolist() == made.context.tolist() and got.learned.tolist() == made.learned.tolist()
+    counts = np.sort(rng.integers(0, 9, (50, 5)), axis=1)[:, ::-1]
+    assert (contextmix._unfalls(contextmix._falls(counts), counts[:, -1]) == counts).all()
+
+
 def test_uses_round_trip():
     rng = np.random.default_rng(2)
     for n in (0, 1, 5, 400):
