@@ -490,7 +490,8 @@ def test_slices_and_counts_round_trip():
     assert [got.words[k] for k in got.code] == [words[k] for k in code] and got.first.tolist() == first.tolist()
     assert got.context.tolist() == made.context.tolist() and got.learned.tolist() == made.learned.tolist()
     counts = np.sort(rng.integers(0, 9, (50, 5)), axis=1)[:, ::-1]
-    assert (contextmix._unfalls(contextmix._falls(counts), counts[:, -1]) == counts).all()
+    assert (contextmix._unfalls(contextmix._unsparse(contextmix._sparse(contextmix._falls(counts))), counts[:, -1]) == counts).all()
+    assert contextmix._unsparse(contextmix._sparse(np.zeros(0, np.int64))).tolist() == []
 
 
 def test_uses_round_trip():
