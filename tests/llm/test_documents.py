@@ -509,3 +509,43 @@ def test_word_count(spark):
     texts = ["", " \n", None, "a", " a\x0bb  c\t", "a\x1cb c d", "é ü x", "\n\nx\n", LONG]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert sorted(r["n"] for r in df.select(word_count(F.col("t")).alias("n")).collect()) == sorted(len(words(t)) for t in texts)
+
+
+def test_tokens_after_contexts_are_kept_where_they_change():
+    """On the way to each pair's word, against counts of the pairs below every prefix of its hash; pairs without tokens, and equal hashes."""
+    rng = np.random.default_rng(8)
+    hashes = np.sort(np.concatenate([rng.integers(0, 1 << 64, 60, np.uint64), np.arange(9, dtype=np.uint64) >> np.uint64(1), (1 << 64) - 1 - np.arange(3, dtype=np.uint64)]))
+    context, word = rng.integers(0, 12, 500) ** 2, rng.integers(0, len(hashes), 500)
+    n, on = rng.integers(0, 4, 500), rng.random(500) < 0.9
+    pairs = contextmix._Pairs(context, word, n, on, hashes, 0)
+    for e in np.flatnonzero(on):
+        mine = on & (context == context[e])
+        at = int(pairs.begin[pairs.at[e]])
+        tokens, changes = int(pairs.tokens[at]), 0
+        assert tokens == n[mine].sum()
+        for depth in range(64):
+            if pairs.depth[at + 1] == depth:
+                at, changes = at + 1, changes + 1
+                tokens = int(pairs.tokens[at])
+            same = hashes[word] >> np.uint64(63 - depth) == hashes[word[e]] >> np.uint64(63 - depth)
+            assert tokens == n[mine & same].sum()
+        assert pairs.depth[at + 1] == 255 and changes < len(set(word[mine].tolist()))
+    assert len(contextmix._Pairs(context, word, n, np.zeros(500, bool), hashes, 0).depth) == 0
+
+
+def test_training_walks_the_tree_once(spark, monkeypatch):
+    """Chunks of entries share one walk for the rows of a cell; the bits are those of a walk of their own."""
+    monkeypatch.setattr(contextmix, "MIX_CHUNK", 300)
+    *_, top, slots, cells = _random_cells(spark, 1, [b"w%d" % k for k in range(200)], 8000)
+    cell = contextmix._unpacked(cells.first()["data"])
+    known = np.flatnonzero(cell.n > 0)
+    rows = np.unique(cell.row[known])
+    tree, row_at = list(cell.tree(top, rows, 1)), np.searchsorted(rows, cell.row)
+    for chosen in (known, np.random.default_rng(1).permutation(known)[:500]):
+        for a, b in zip(cell.examples(top, chosen), cell.examples(top, chosen, tree, row_at[chosen]), strict=True):
+            assert all((x == y).all() for x, y in zip(a, b, strict=True))
+    bits, path = [], contextmix._path
+    monkeypatch.setattr(contextmix, "_path", lambda *a: bits.append(len(a[4])) or path(*a))
+    mixers = (contextmix.Mixer.new(contextmix.WORD_INPUTS, contextmix.WORD_GATES), contextmix.Mixer.new(contextmix.BYTE_INPUTS, contextmix.BYTE_GATES))
+    contextmix.taught(cell, True, top, slots, mixers, 0.02)
+    assert len(known) > 10 * contextmix.MIX_CHUNK and sum(bits) == sum(len(d.active) for d in tree)
